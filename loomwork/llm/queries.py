@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html, quality, secrets, shard
+from . import bpe, chat, decontaminate, html, neardup, quality, repeats, secrets, shard
 from .common import table
 
 
@@ -28,6 +28,11 @@ def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.find_secrets(docs).select("doc_id", "secrets")
@@ -44,6 +49,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_passages(table(spark, sf_dir, "documents"), length=50)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     cutoffs = quality.calibrate(docs, table(spark, sf_dir, "labels"))
@@ -86,5 +95,5 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_decontaminate, op2_shard, op4_secrets, op6_quality, op7_bpe, op8_chat, op9_html)
+    f.__name__: f for f in (op1_decontaminate, op2_shard, op3_neardup, op4_secrets, op5_repeats, op6_quality, op7_bpe, op8_chat, op9_html)
 }
