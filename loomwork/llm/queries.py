@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html, neardup, quality, repeats, secrets, shard
+from . import bpe, chat, decontaminate, html, neardup, passages, quality, repeats, secrets, shard
 from .common import table
 
 
@@ -94,6 +94,10 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_passages(table(spark, sf_dir, "documents"), length=50)
+
+
 QUERIES = {
-    f.__name__: f for f in (op1_decontaminate, op2_shard, op3_neardup, op4_secrets, op5_repeats, op6_quality, op7_bpe, op8_chat, op9_html)
+    f.__name__: f for f in (op1_decontaminate, op2_shard, op3_neardup, op4_secrets, op5_repeats, op6_quality, op7_bpe, op8_chat, op9_html, op10_passages)
 }
