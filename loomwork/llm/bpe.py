@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free, worker_file
+from .common import free, stored, worker_file
 
 #: Fixed value: how byte-level BPE of this family splits texts into words. White space is Unicode's White_Space.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -261,7 +261,7 @@ class Lexicon:
 class Encoder:
     """Texts to ids (little-endian unsigned 32-bit). Words met lately are remembered, within a bound."""
 
-    LIMIT = 300_000
+    LIMIT = 150_000
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon) -> None:
         self.vocabulary, self.lexicon = vocabulary, lexicon
@@ -287,7 +287,7 @@ class Encoder:
         for k, ids in zip(short, self.pairs.merge([raw[k] for k in short]) if short else (), strict=True):
             self.known[new[k]] = ids.astype("<u4").tobytes()
 
-    def encode(self, texts: list[str | None], some: int = 1 << 22) -> list[bytes]:
+    def encode(self, texts: list[str | None], some: int = 1 << 20) -> list[bytes]:
         out: list[bytes] = []
         k = 0
         split, find = self.vocabulary.split_added, self.vocabulary.words.findall
@@ -322,7 +322,8 @@ class Encoder:
 def frequent_words(docs: DataFrame, most: int) -> list[str]:
     """The most frequent words between spaces over all texts; counts are added up map-side first."""
     words = docs.select(F.explode(F.split(F.col("text").cast("string"), r"[\s\p{Punct}]+")).alias("w")).filter("w <> ''")
-    top = words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(most)
+    # stored, so that the tasks' candidates meet in one task and not on the driver
+    top = stored(words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(most))
     return [x.w for x in top.collect()]
 
 

@@ -162,7 +162,7 @@ def chat_format(records: DataFrame, *, record: str = "record", mappings: tuple[M
                 rows.append((mark, name, formatted, [{"start": s, "stop": e} for s, e in mask]))
             yield pd.DataFrame(rows, columns=["fingerprint", "layout", "formatted", "mask"])
 
-    return records.withColumn(free(out, records.columns), run(F.col(record)))
+    return records.withColumn(free(out, records.columns), run.asNondeterministic()(F.col(record)))  # so that it runs once for all its fields
 
 
 def chat_read(chats: DataFrame, *, chat: str = "chat", turn_digest: Callable[[list[Turn]], str] | None = None, out: str = "read") -> DataFrame:
@@ -182,7 +182,7 @@ def chat_read(chats: DataFrame, *, chat: str = "chat", turn_digest: Callable[[li
                 rows.append((len(turns), [{"role": r, "text": t} for r, t in turns], loss))
             yield pd.DataFrame(rows, columns=["n_turns", "turns", "loss"])
 
-    return chats.withColumn(free(out, chats.columns), run(F.col(f"{chat}.formatted"), F.col(f"{chat}.mask")))
+    return chats.withColumn(free(out, chats.columns), run.asNondeterministic()(F.col(f"{chat}.formatted"), F.col(f"{chat}.mask")))
 
 
 def from_turn_rows(rows: DataFrame) -> DataFrame:

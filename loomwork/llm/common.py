@@ -11,6 +11,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
+from loomwork.session import ship
+
 _UPPER = bytes(range(0x41, 0x5B))
 ASCII_LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 #: A-Z become a-z, every other ASCII character outside 0-9a-z becomes a space; bytes of non-ASCII characters stay.
@@ -95,6 +97,7 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
