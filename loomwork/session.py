@@ -13,9 +13,14 @@ from pyspark.sql import SparkSession
 
 _shipped: set[tuple[str, str]] = set()
 
+#: Batches to Python hold so much at most (unless the session asks for less), so that long texts don't fill a worker.
+BATCH_BYTES = 8 << 20
+
 
 def ship(spark: SparkSession) -> None:
     """Gives Spark a zip of this package for its workers, once per application; cheap to call again."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) > BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     root = Path(__file__).resolve().parent
     data = io.BytesIO()
