@@ -45,7 +45,7 @@ def lower_space_words(text: str | None) -> list[bytes]:
 class WordHash(dict):
     """Word to 64-bit hash, remembered; forgets everything beyond a bound so that memory stays flat."""
 
-    LIMIT = 400_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -89,6 +89,7 @@ def signed(x: np.ndarray) -> np.ndarray:
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in spark.checkpoint.dir. Only where that is unset, as in
     tests on one machine, a temporary folder is set."""
+    ship(df.sparkSession)
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")

@@ -295,7 +295,7 @@ def walk(auto: Automaton, data: bytes, piece: int = 2048) -> tuple[np.ndarray, n
     return np.concatenate(found_at), np.concatenate(found)
 
 
-def flagged(auto: Automaton, texts: list[str | None], stream: int = 1 << 23) -> Iterator[tuple[int, int]]:
+def flagged(auto: Automaton, texts: list[str | None], stream: int = 1 << 22) -> Iterator[tuple[int, int]]:
     """(index, rule bits) of the texts with anything found; texts are joined into streams of bounded size, with a
     resetting byte between them."""
     gap = bytes([int(np.flatnonzero(auto.reset)[0])])
