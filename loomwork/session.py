@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 _shipped: set[tuple[str, str]] = set()
 
 #: Batches to Python hold so much at most (unless the session asks for less), so that long texts don't fill a worker.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
