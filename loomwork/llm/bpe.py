@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free, stored, worker_file
+from .common import free, relax, stored, worker_file
 
 #: Fixed value: how byte-level BPE of this family splits texts into words. White space is Unicode's White_Space.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -261,7 +261,7 @@ class Lexicon:
 class Encoder:
     """Texts to ids (little-endian unsigned 32-bit). Words met lately are remembered, within a bound."""
 
-    LIMIT = 150_000
+    LIMIT = 100_000
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon) -> None:
         self.vocabulary, self.lexicon = vocabulary, lexicon
@@ -319,6 +319,18 @@ class Encoder:
         return b"".join(map(get, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
+_encoders: dict[int, Encoder] = {}
+
+
+def worker_encoder(vocabulary: bytes, lexicon: bytes) -> Encoder:
+    """The worker's encoder for these; it is made once and serves all tasks."""
+    key = hash((vocabulary, lexicon))
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(Vocabulary(vocabulary), Lexicon(worker_file("lexicon", lexicon)))
+    return _encoders[key]
+
+
 def frequent_words(docs: DataFrame, most: int) -> list[str]:
     """The most frequent words between spaces over all texts; counts are added up map-side first."""
     words = docs.select(F.explode(F.split(F.col("text").cast("string"), r"[\s\p{Punct}]+")).alias("w")).filter("w <> ''")
@@ -354,10 +366,10 @@ def encode(docs: DataFrame, tokenizer: str, *, lexicon_words: int = 20_000, deco
 
     @F.pandas_udf("ids binary, decoded string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        vocab, lex = shared.value
-        encoder = Encoder(Vocabulary(vocab), Lexicon(worker_file("lexicon", lex)))
+        encoder = worker_encoder(*shared.value)
         for batch in batches:
             ids = encoder.encode(list(batch))
             yield pd.DataFrame({"ids": ids, "decoded": [encoder.decode(x) if decoded else None for x in ids]})
+            relax()
 
     return docs.withColumn(free(out, docs.columns), run(F.col("text").cast("string")))

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from loomwork.session import ship
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _UPPER = bytes(range(0x41, 0x5B))
 ASCII_LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 #: A-Z become a-z, every other ASCII character outside 0-9a-z becomes a space; bytes of non-ASCII characters stay.
@@ -127,6 +130,13 @@ def stream_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[
         yield pd.concat(rest, ignore_index=True) if len(rest) > 1 else rest[0]
 
 
+def relax() -> None:
+    """Gives memory that this worker's allocators hold unused back to the machine."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def free(name: str, taken: list[str]) -> str:
     """A column name that none of the taken ones clashes with, whatever their case."""
     lower = {t.lower() for t in taken}

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, lower_space_words, mix, shingle_hashes, shuffle_partitions, signed, stored, stream_groups
+from .common import WordHash, lower_space_words, mix, relax, shingle_hashes, shuffle_partitions, signed, stored, stream_groups
 from .components import components, keyed_join
 
 #: Documents whose ids may be sent to every task to pick texts out of the table; beyond, texts are joined by shuffling.
@@ -98,6 +98,7 @@ def _signatures(texts: Column, k: int, bands: int, rows: int) -> Column:
                     size = 0
             flush()
             yield pd.DataFrame({"n_shingles": count, "bands": keys})
+            relax()
 
     return run(texts)
 

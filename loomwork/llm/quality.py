@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, free, shingle_hashes, utf8
+from .common import WordHash, free, relax, shingle_hashes, utf8
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long"
 _SYMBOLS = b"#*$%&|<>"
@@ -71,6 +71,7 @@ def text_stats(text: Column) -> Column:
         words_of = WordHash()
         for batch in batches:
             yield pd.DataFrame([stats(t, words_of) for t in batch], columns=names, dtype=np.int64)
+            relax()
 
     return run(text.cast("string"))
 

@@ -24,10 +24,6 @@ from .common import WordHash, lower_space_words, shingle_hashes, shuffle_partiti
 from .components import keyed_join
 from .neardup import text_key
 
-#: Anchors that may be sent to every task to pick texts out of the table; beyond, texts are joined by shuffling.
-MOST_SENT = 2_000_000
-
-
 def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
     """Positions of the least of each ``window`` neighbours, the leftmost of equal ones; sorted, without repeats."""
     n = len(grams)
@@ -65,37 +61,41 @@ def _anchors(texts: Column, length: int, anchor: int) -> Column:
 
 
 def _contexts(texts: DataFrame, length: int, anchor: int, hot: bool) -> DataFrame:
-    """Suffixes with context from rows (text_key, node, text, anchors); of hot anchors, their windows instead."""
-    left, right = length - anchor, length
+    """Suffixes with context from rows (text_key, node, text, anchors); of hot anchors, their windows instead. The anchor's own
+    words aren't part of the context: its run tells them."""
+    side = length - anchor
 
-    def suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         words_of = WordHash()
-        names = ["run", "right", "left", "node", "text_key", "place"]
         for batch in batches:
-            rows: list[tuple] = []
             for key, node, text, anchors in zip(batch["text_key"], batch["node"], batch["text"], batch["anchors"], strict=True):
-                words = (words_of.array(lower_space_words(text)) >> np.uint64(32)).astype(">u4")
-                back = words[::-1]
-                n = len(words)
-                for x in anchors:
-                    if not x["hot"]:
-                        p = x["place"]
-                        rows.append((x["run"], words[p : p + right].tobytes(), back[n - p : n - p + left].tobytes(), node, key, p))
-                if len(rows) > 20_000:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows = []
-            yield pd.DataFrame(rows, columns=names).astype({"run": "int64", "node": "int64", "place": "int32"})
+                words = words_of.array(lower_space_words(text))
+                grams = shingle_hashes(words, anchor)
+                # an id with several texts has anchors of all of them: a text's own are those that are where they should be
+                own = [(x["run"], x["place"]) for x in anchors if x["hot"] == hot and x["place"] < len(grams) and signed(grams[x["place"] : x["place"] + 1])[0] == x["run"]]
+                if own:
+                    yield key, node, words, own
+
+    def suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["run", "right", "left", "node", "text_key", "place"]
+        rows: list[tuple] = []
+        for key, node, words, anchors in placed(batches):
+            cells = (words >> np.uint64(32)).astype(">u4")
+            back = cells[::-1]
+            n = len(cells)
+            for run, p in anchors:
+                rows.append((run, cells[p + anchor : p + length].tobytes(), back[n - p : n - p + side].tobytes(), node, key, p))
+            if len(rows) > 10_000:
+                yield pd.DataFrame(rows, columns=names)
+                rows = []
+        yield pd.DataFrame(rows, columns=names).astype({"run": "int64", "node": "int64", "place": "int32"})
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words_of = WordHash()
-        for batch in batches:
-            for key, node, text, anchors in zip(batch["text_key"], batch["node"], batch["text"], batch["anchors"], strict=True):
-                places = np.array([x["place"] for x in anchors if x["hot"]], np.int64)
-                if len(places):
-                    whole = shingle_hashes(words_of.array(lower_space_words(text)), length)
-                    at = np.unique((places[:, None] - np.arange(left + 1)).ravel())
-                    at = at[(at >= 0) & (at < len(whole))]
-                    yield pd.DataFrame({"window": signed(whole[at]), "node": node, "text_key": [key] * len(at), "place": at.astype(np.int32)})
+        for key, node, words, anchors in placed(batches):
+            whole = shingle_hashes(words, length)
+            at = np.unique((np.array([p for _, p in anchors])[:, None] - np.arange(side + 1)).ravel())
+            at = at[(at >= 0) & (at < len(whole))]
+            yield pd.DataFrame({"window": signed(whole[at]), "node": node, "text_key": [key] * len(at), "place": at.astype(np.int32)})
 
     if hot:
         return texts.mapInPandas(windows, "window long, node long, text_key binary, place int")
@@ -129,26 +129,26 @@ def _matrix(values: pd.Series, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 def matched(group: pd.DataFrame, length: int, anchor: int) -> pd.DataFrame:
     """Matched stretches (text_key, node, start, stop) of suffixes that come in the order of (run, right context)."""
-    left_words = length - anchor
+    side = length - anchor
     run, node = group["run"].to_numpy(), group["node"].to_numpy()
-    right, right_size = _matrix(group["right"], length)
-    left, left_size = _matrix(group["left"], left_words)
+    right, right_size = _matrix(group["right"], side)
+    left, left_size = _matrix(group["left"], side)
     n = len(group)
-    # longest common prefix with the suffix before
+    # longest common prefix, beyond the anchor, with the suffix before
     same = right[1:] == right[:-1]
-    lcp = np.where(same.all(axis=1), length, np.argmin(same, axis=1))
+    lcp = np.where(same.all(axis=1), side, np.argmin(same, axis=1)) if side else np.zeros(n - 1, np.int64)
     lcp = np.minimum(lcp, np.minimum(right_size[1:], right_size[:-1]))
     lcp[run[1:] != run[:-1]] = -1
     far = np.full(n, -1)
     near = np.full(n, -1)
     context = np.zeros(n, np.uint64)
     multiplier = np.uint64(0x9E3779B97F4A7C15)
-    for back in range(left_words + 1):
+    for back in range(side + 1):
         if back:
             context = (context ^ left[:, back - 1]) * multiplier
             context ^= context >> np.uint64(29)
-        part = np.concatenate(([0], np.cumsum(lcp < length - back)))
-        ok = np.flatnonzero((left_size >= back) & (right_size >= length - back))
+        part = np.concatenate(([0], np.cumsum(lcp < side - back)))
+        ok = np.flatnonzero((left_size >= back) & (right_size >= side - back))
         if len(ok) < 2:
             continue
         order = ok[np.lexsort((context[ok], part[ok]))]
@@ -218,13 +218,11 @@ def repeated_passages(docs: DataFrame, *, length: int = 50, anchor: int = 17, mo
         .agg(F.min("doc_id").alias("node"), F.count_distinct("doc_id").alias("n"), F.first("n_words").alias("n_words"), F.first("runs").alias("runs"), F.first("places").alias("places"))
     )
     total = nodes.agg(F.sum("n"), F.sum(F.size("runs"))).first()
-    anchors = nodes.select("text_key", "node", F.explode(F.arrays_zip(F.col("runs").alias("run"), F.col("places").alias("place"))).alias("x")).select("text_key", "node", "x.run", "x.place")
+    anchors = nodes.select("node", F.explode(F.arrays_zip(F.col("runs").alias("run"), F.col("places").alias("place"))).alias("x")).select("node", "x.run", "x.place")
     runs = stored(anchors.groupBy("run").agg(F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("run", "n", (F.col("n") > most).alias("hot")))
     shared = keyed_join(anchors, runs, "run", "n", total[1] or 0)
-    wanted = stored(shared.groupBy("text_key", "node").agg(F.collect_list(F.struct("run", "place", "hot")).alias("anchors")))
-    size = wanted.agg(F.sum(F.size("anchors"))).first()[0] or 0
-    own = seen.select("text_key", F.col("doc_id").alias("node"), "text")
-    texts = own.join(F.broadcast(wanted) if size <= MOST_SENT else wanted, ["text_key", "node"])
+    wanted = shared.groupBy("node").agg(F.collect_list(F.struct("run", "place", "hot")).alias("anchors"))
+    texts = seen.select("text_key", F.col("doc_id").alias("node"), "text").join(wanted, "node")
     parts = shuffle_partitions(spark)
     dealt = _contexts(texts, length, anchor, False).repartition(parts, "run").sortWithinPartitions("run", "right")
 
