@@ -350,7 +350,7 @@ def lexicon_of(vocabulary: Vocabulary, words: list[str]) -> bytes:
     return compile_lexicon(own)
 
 
-def encode(docs: DataFrame, tokenizer: str, *, lexicon_words: int = 20_000, decoded: bool = False, out: str = "bpe") -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, *, lexicon_words: int = 10_000, decoded: bool = False, out: str = "bpe") -> DataFrame:
     """docs with a column ``out``: struct of ids (packed little-endian unsigned 32-bit integers) and, if asked for, the
     text decoded from them (else null). tokenizer: path of the vocabulary file on the driver.
 

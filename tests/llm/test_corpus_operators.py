@@ -217,6 +217,12 @@ def test_compact_windows_part_all_stretches():
                 assert len(own) == 1 and c[own[0]] == a + np.argmin(values[a:b])
 
 
+def test_compact_windows_of_equal_values():
+    l, c, r = passages.compact_windows(np.zeros(5000, np.uint64), np.array([0]), np.array([5000]), 50)
+    for a, b in ((0, 50), (17, 4999), (4950, 5000), (2000, 2060)):
+        assert len(np.flatnonzero((l <= a) & (a <= c) & (c < b) & (b <= r))) == 1
+
+
 def test_every_exact_repeat_is_a_near_duplicate(spark, sf_dir):
     docs = texts_of(spark, sf_dir)
     words = defaultdict(set)
