@@ -142,13 +142,18 @@ def plain_key(name: Column, generic: tuple[str, ...] = ()) -> Column:
     return F.array_join(F.array_sort(words), " ")
 
 
+#: Words of house numbers that don't tell houses apart.
+HOUSE_WORDS = "корпус|корп|строение|стр|литера|лит|дом"
+
+
 def house_key(number: Column) -> Column:
-    """A house number without spaces and marks, folded."""
-    return F.regexp_replace(F.translate(fold_case(number), *LOOK_ALIKE), r"(?U)[^\w/]+", "")
+    """Letters and digits of a house number, in small letters, without the words for its parts."""
+    return F.regexp_replace(F.regexp_replace(F.lower(number), HOUSE_WORDS, ""), r"(?U)[^\p{L}\p{Nd}]+", "")
 
 
 def lead_number(number: Column) -> Column:
-    return extract(number, r"^\D*(\d+)")
+    """The number that comes first, with its letter."""
+    return F.trim(extract(F.lower(number), r"^(\s*\d+[а-яa-z]?)"))
 
 
 def level_group(level: Column) -> Column:

@@ -41,7 +41,7 @@ class Metrics:
     recall: float
 
 
-def text_pipeline(features: int = 1 << 18) -> Pipeline:
+def text_pipeline(features: int = 1 << 16) -> Pipeline:
     """Words, pairs of words and grams of three letters, hashed and normalised, to a logistic regression."""
     words = RegexTokenizer(inputCol="text", outputCol="words", pattern=r"(?U)\W+")
     pairs = NGram(n=2, inputCol="words", outputCol="pairs")
@@ -49,10 +49,10 @@ def text_pipeline(features: int = 1 << 18) -> Pipeline:
     grams = NGram(n=3, inputCol="letters", outputCol="grams")
     hashed = [HashingTF(inputCol=c, outputCol=f"{c}_tf", numFeatures=features) for c in ("words", "pairs", "grams")]
     together = VectorAssembler(inputCols=[f"{c}_tf" for c in ("words", "pairs", "grams")], outputCol="raw")
-    return Pipeline(stages=[words, pairs, letters, grams, *hashed, together, Normalizer(p=2.0, inputCol="raw", outputCol="features"), LogisticRegression(maxIter=50, regParam=1e-4)])
+    return Pipeline(stages=[words, pairs, letters, grams, *hashed, together, Normalizer(p=2.0, inputCol="raw", outputCol="features"), LogisticRegression(maxIter=30, regParam=1e-4)])
 
 
-def train(labelled: DataFrame, *, trained_on: int | None = None, force: bool = False) -> tuple[PipelineModel, Metrics] | None:
+def train(labelled: DataFrame, *, trained_on: int | None = None, force: bool = False, features: int = 1 << 16) -> tuple[PipelineModel, Metrics] | None:
     """A model of (text, label) with its figures on a fifth held out, then refit on all. Null if there are as many labels as
     last time; an error with under ten, or without news if forced."""
     n = labelled.count()
@@ -64,11 +64,11 @@ def train(labelled: DataFrame, *, trained_on: int | None = None, force: bool = F
         return None
     rows = labelled.select(F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("double").alias("label"))
     learn, held = rows.randomSplit([0.8, 0.2], 42)
-    scored = text_pipeline().fit(learn).transform(held).cache()
+    scored = text_pipeline(features).fit(learn).transform(held).cache()
     area = BinaryClassificationEvaluator().evaluate(scored)
     one = {m: MulticlassClassificationEvaluator(metricName=m, metricLabel=1.0).evaluate(scored) for m in ("accuracy", "f1", "precisionByLabel", "recallByLabel")}
     scored.unpersist()
-    return text_pipeline().fit(rows), Metrics(one["accuracy"], area, one["f1"], one["precisionByLabel"], one["recallByLabel"])
+    return text_pipeline(features).fit(rows), Metrics(one["accuracy"], area, one["f1"], one["precisionByLabel"], one["recallByLabel"])
 
 
 def predict(model: PipelineModel | None, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
