@@ -1,0 +1,146 @@
+"""The document pipeline's own operators over a small corpus in its language, with the rows that they must give.
+
+The driver's tables hold no such documents, so these queries bring their input; the expected rows are SQL constants.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomwork.functions import scalars as S
+from loomwork.functions.fuzzy import allowed, osa_distance
+from loomwork.operators import classify, geo, match, pages, registry
+from loomwork.operators.extract import record
+from loomwork.session import ship
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+NAME = "14.01.01.000.Т.000592.12.16 от 09.12.2016"
+NAME2 = "77.01.09.000.Т.002236.06.26 от 08.06.2026"
+TEXT = f"""1006 заключение
+№ {NAME}
+Проектная документация
+Базовая стация № 40234 "Лесная" ПАО "МегаФон" стандарта GSM-900 по адресу: 445004, Самарская область,Кинельский район, с. Бобровка, ул. Кирова, д. 5, координаты: 53.241667, 50.683333, высота подвеса антенн от уровня земли 24, 27 м
+СООТВЕТСТВУЕТ
+Приложение
+Владелец ПРТО: ПАО "МегаФон", юридический адрес: 127006, г. Москва, пер. Оружейный, д. 41"""
+TEXT2 = f"""2007 заключение
+№ {NAME2}
+Базовая станция BTS-77-00489GUL18 ПАО "МТС" стандарта LTE, размещаемая по адресу: г. Москва, проспект Мира, д. 1, 55°46'18.5" с.ш. 37°37'58.1" в.д. мачта высотой 23м"""
+PAGE = f"""<table><tr><td><hr size="1" width="100%"><b>1.</b></td></tr><tr><td>Номер заключения и дата —&nbsp;</td> <td><b>{NAME}</b></td></tr><tr><td><p>Базовая <b>Базовая</b></p></td></tr>
+<tr><td><hr size="1" width="100%"><b>2.</b></td></tr><tr><td>Номер заключения и дата —&nbsp;</td> <td><b>bad</b></td></tr></table>"""
+
+
+def query(sql: str) -> Callable:
+    def add(f: Callable[[SparkSession], DataFrame]) -> Callable:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return f(spark)
+
+        QUERIES[f.__name__] = run
+        ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _texts(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(f"{NAME}.txt", TEXT), (f"{NAME2}.txt", TEXT2), ("x.txt", "Молоко")], "sourceFileName string, text string")
+
+
+@query(
+    f"""select * from (values
+    ('{NAME}.txt', '1006', '{NAME}', '40234 "Лесная"', 'Самарская область, Кинельский район, с. Бобровка, ул. Кирова, д. 5', 'ПАО "МегаФон"', '53.241667, 50.683333', '24.0 земля;27.0 земля', null),
+    ('{NAME2}.txt', '2007', '{NAME2}', 'BTS-77-00489GUL18', 'г. Москва, проспект Мира, д. 1', 'ПАО "МТС"', '55.77180555555555, 37.63280555555556', '23.0 -', null),
+    ('x.txt', null, null, null, null, null, null, null, 'Index,DocumentNumberAndDate,BaseStationNumber,BaseStationAddress,Operator'))
+    t(source, idx, number_and_date, station, address, operator, coordinates, heights, missing)"""
+)
+def d01_records(spark: SparkSession) -> DataFrame:
+    shown = F.array_join(F.transform("antennaHeights", lambda h: F.concat_ws(" ", h["height"].cast("string"), F.coalesce(h["base"], F.lit("-")))), ";")
+    return record.records(_texts(spark)).select(
+        F.col("sourceFileName").alias("source"), F.col("index").alias("idx"), F.col("documentNumberAndDate").alias("number_and_date"), F.col("baseStationNumber").alias("station"),
+        F.col("baseStationAddress").alias("address"), "operator", "coordinates", shown.alias("heights"), F.array_join("missingFields", ",").alias("missing"),
+    )
+
+
+OBJECTS = [
+    (1, "g1", "Самарская", "обл.", 1, 63), (2, "g2", "Кинельский", "р-н", 2, 63), (3, "g3", "Бобровка", "с.", 6, 63), (4, "g4", "Кирова", "ул.", 8, 63), (5, "g5", "Самара", "г.", 5, 63),
+    (6, "g6", "Кирова", "ул.", 8, 63), (7, "g7", "Кирова", "пр-кт", 8, 63), (9, "g9", "Москва", "г.", 1, 77), (10, "g10", "Мира", "пр-кт", 8, 77),
+]
+LINKS = [(2, 1), (3, 2), (4, 3), (5, 1), (6, 5), (7, 5), (10, 9), (20, 4), (21, 4)]
+HOUSES = [(20, "h20", "5"), (21, "h21", "7а")]
+
+
+def _register(spark: SparkSession) -> registry.Register:
+    objects = spark.createDataFrame([(i, g, n, t, lv, 1, 1, r) for i, g, n, t, lv, r in OBJECTS], "objectid long, objectguid string, name string, typename string, level int, isactual int, isactive int, region int")
+    links = spark.createDataFrame([(a, b, 1) for a, b in LINKS], "objectid long, parentobjid long, isactive int")
+    houses = spark.createDataFrame([(i, g, n, None, None, 1, 1, 63) for i, g, n in HOUSES], "objectid long, objectguid string, housenum string, addnum1 string, addnum2 string, isactual int, isactive int, region int")
+    return registry.full_import(objects, links, houses)
+
+
+@query(
+    """select * from (values (1, 'Самарская обл.', 'Кинельский р-н', null, 'с. Бобровка', 'ул. Кирова', '5', 'улица', 'g4'), (2, 'Самарская обл.', null, 'Самара', null, 'пр-кт Кирова', '12', 'улица', 'g7'),
+    (3, 'г. Москва', null, null, null, 'пр-кт Мира', null, 'улица', 'g10'), (4, null, null, null, null, null, null, 'нет', null)) t(id, region, district, city, settlement, street, building, level, guid)"""
+)
+def d02_addresses(spark: SparkSession) -> DataFrame:
+    rows = [(1, "Самарская область, Кинельский район, с. Бобровка, ул. Кирвоа, д. 5"), (2, "г. Самара, пр-кт Кирова, 12"), (3, "г. Москва, проспект Мира, 1"), (4, "неизвестно где")]
+    found = match.match_addresses(spark.createDataFrame(rows, "id long, address string"), registry.index(_register(spark)))
+    return found.select(F.col("id").cast("int").alias("id"), "region", "district", "city", "settlement", "street", F.when(F.col("id") != 3, F.col("building")).alias("building"), F.col("matchLevel").alias("level"), "guid")
+
+
+@query("select * from (values (1, 20, 'exact'), (2, 21, 'exact'), (3, 21, 'lead')) t(id, house, how)")
+def d03_houses(spark: SparkSession) -> DataFrame:
+    asked = spark.createDataFrame([(1, 4, "5"), (2, 4, "7А"), (3, 4, "7а, стр. 9"), (4, 4, "99")], "id long, street long, building string")
+    return registry.match_houses(asked, _register(spark)).select(F.col("id").cast("int").alias("id"), F.col("house").cast("int").alias("house"), "how")
+
+
+@query("select * from (values (2, 'Кинельский', 1), (4, 'Новая', 5), (30, 'Свет', 5)) t(objectid, name, parent)")
+def d04_delta(spark: SparkSession) -> DataFrame:
+    new = registry.apply_delta(
+        _register(spark),
+        spark.createDataFrame([(4, "g4", "Новая", "ул.", 8, 1, 1, 63), (7, "g7", "Кирова", "пр-кт", 8, 1, 0, 63), (30, "g30", "Свет", "ул.", 8, 1, 1, 63)], "objectid long, objectguid string, name string, typename string, level int, isactual int, isactive int, region int"),
+        spark.createDataFrame([(30, 5, 1), (99, 5, 1), (4, 5, 1)], "objectid long, parentobjid long, isactive int"),
+    )
+    return new.objects.join(new.links, "objectid").filter("objectid in (2, 4, 7, 30)").select(F.col("objectid").cast("int").alias("objectid"), "name", F.col("parent").cast("int").alias("parent"))
+
+
+@query(f"select * from (values ('{NAME}', 2016, 12, 'Базовая Базовая|Базовая')) t(doc_name, year, month, tail)")
+def d05_pages_to_texts(spark: SparkSession) -> DataFrame:
+    good, _ = pages.split_documents(spark.createDataFrame([(1, PAGE), (2, PAGE), (3, None)], "page int, html string"), ["page"])
+    lines = F.split("text", "\n")
+    return pages.texts(good).select("doc_name", "year", "month", F.concat_ws("|", F.element_at(lines, -2), F.element_at(lines, -1)).alias("tail"))
+
+
+@query("select * from (values ('a', true), ('b', false), ('c', true), ('d', true), ('e', false)) t(id, is_cell)")
+def d06_keyword_classifier(spark: SparkSession) -> DataFrame:
+    rows = spark.createDataFrame([("a", "о базовой станции"), ("b", "GSM"), ("c", "GSM и ПРТО"), ("d", "ПРТО"), ("e", None)], "id string, text string")
+    return classify.predict(None, rows).select("id", "is_cell")
+
+
+@query("select * from (values ('кирвоа', 'кирова', 1), ('мира', 'мера', 1), ('лесная', 'полевая', 2)) t(a, b, d)")
+def d07_edit_distance(spark: SparkSession) -> DataFrame:
+    rows = spark.createDataFrame([("кирвоа", "кирова"), ("мира", "мера"), ("лесная", "полевая")], "a string, b string")
+    return rows.select("a", "b", osa_distance(F.col("a"), F.col("b"), allowed(F.col("a"))).alias("d"))
+
+
+@query("select * from (values (1, 'кинель', 'osa'), (3, 'самара', 'osa')) t(id, place, how)")
+def d08_conflicts(spark: SparkSession) -> DataFrame:
+    places = spark.createDataFrame([("самара", "city", 53.2, 50.15), ("лесное", "village", 53.5, 50.5), ("кинель", "town", 53.22, 50.63)], "key string, kind string, lat double, lon double")
+    streets = spark.createDataFrame([("мира", "street", 53.21, 50.16)], "key string, kind string, lat double, lon double")
+    stations = spark.createDataFrame([(1, 53.22, 50.63, "Самара", None, None), (2, 53.2, 50.15, "Самара", None, None), (3, 53.2, 50.15, None, "Лесное", None)], "id long, lat double, lon double, city string, settlement string, street string")
+    return geo.conflicts(stations, places, streets).select(F.col("id").cast("int").alias("id"), "addressByCoords.place", F.lit("osa").alias("how"))
+
+
+@query(f"select * from (values ('{NAME.split()[0]}', date '2016-12-09', 1006, '24.0,27.0', 'земля,земля', cast(53.241667 as double)), ('{NAME2.split()[0]}', date '2026-06-08', 2007, '23.0', '', cast(55.77180555555555 as double))) t(document_number, document_date, idx, heights, bases, latitude)")
+def d09_flat_rows(spark: SparkSession) -> DataFrame:
+    good, _ = record.flat(record.records(_texts(spark)))
+    return good.select("document_number", "document_date", F.col("index").cast("int").alias("idx"), F.array_join(F.col("antenna_heights").cast("array<string>"), ",").alias("heights"), F.array_join("antenna_height_bases", ",").alias("bases"), "latitude")
+
+
+@query("select * from (values ('3-я Линия', '3-я линия'), ('улица Кирова', 'кирова улица'), ('райoн', 'район')) t(name, name_key)")
+def d10_name_keys(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([("3-я Линия",), ("улица Кирова",), ("райoн",)], "name string").select("name", S.name_key(F.col("name")).alias("name_key"))
