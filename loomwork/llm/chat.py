@@ -36,13 +36,14 @@ class Mapping:
     rows: tuple[str, str, str, str | None] | None = None
     steps: tuple[tuple[str, str], ...] = ()
     join: tuple[str, str] | None = None
+    rename: bool = False
 
 
 #: Layouts in order of choice, and role names.
 MAPPINGS = (
     Mapping("turn_rows", frozenset({"turns[].turn", "turns[].role", "turns[].text"}), rows=("turns", "role", "text", "turn")),
     Mapping("messages", frozenset({"messages[].role", "messages[].content"}), rows=("messages", "role", "content", None)),
-    Mapping("from_value", frozenset({"conversations[].from", "conversations[].value"}), rows=("conversations", "from", "value", None)),
+    Mapping("from_value", frozenset({"conversations[].from", "conversations[].value"}), rows=("conversations", "from", "value", None), rename=True),
     Mapping("instruction", frozenset({"instruction", "output"}), steps=(("system", "system"), ("user", "instruction"), ("assistant", "output")), join=("instruction", "input")),
     Mapping("prompt_completion", frozenset({"prompt", "completion"}), steps=(("system", "system"), ("user", "prompt"), ("assistant", "completion"))),
     Mapping("prompt_response", frozenset({"prompt", "response"}), steps=(("system", "system"), ("user", "prompt"), ("assistant", "response"))),
@@ -86,7 +87,8 @@ def _turns(record: dict, mapping: Mapping) -> list[Turn]:
         rows = [r for r in record[name] if isinstance(r, dict)]
         if order:
             rows = sorted(rows, key=lambda r: (r.get(order) is not None, r.get(order) or 0, _text(r.get(role)), _text(r.get(text))))
-        return [(ROLES.get(_text(r.get(role)), _text(r.get(role))), _text(r.get(text))) for r in rows]
+        names = ROLES if mapping.rename else {}
+        return [(names.get(_text(r.get(role)), _text(r.get(role))), _text(r.get(text))) for r in rows]
     out = []
     for role, name in mapping.steps:
         value = _text(record.get(name))

@@ -2,4 +2,43 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_SPACE = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+
+ORACLE: dict[str, str] = {
+    "op1_decontaminate": f"""
+        with d as (select doc_id, {_ALNUM} as w from documents),
+        b as (select cast(item_id as varchar) as item_id, {_ALNUM} as w from benchmark),
+        iw as (select distinct item_id, least(10, len(w)) as n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') as win
+            from b, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) g(i) where len(w) > 0),
+        lens as (select distinct n from iw),
+        dw as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as win from d, lens, unnest(generate_series(1, len(w) - n + 1)) g(i) where len(w) >= n),
+        m as (select doc_id, item_id, i, n from dw join iw using (n, win)),
+        h as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(generate_series(i, i + n - 1)) as p from m) group by 1),
+        x as (select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as s from (select distinct doc_id, item_id from m) group by 1)
+        select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(s, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from d left join h using (doc_id) left join x using (doc_id)""",
+    "op3_neardup": f"""
+        with recursive d as (select doc_id, {_SPACE} as w from documents),
+        s as (select distinct doc_id, array_to_string(case when len(w) >= 3 then w[i:i + 2] else w end, ' ') as g from d, unnest(generate_series(1, greatest(len(w) - 2, 1))) t(i) where len(w) > 0),
+        n as (select doc_id, count(*) as n from s group by 1),
+        p as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+        e as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+        r(id, comp) as (select doc_id, doc_id from d union select e.a, r.comp from e join r on r.id = e.b)
+        select d.doc_id, coalesce(max(n), 0) as n_shingles, min(comp) as component_id, d.doc_id = min(comp) as kept from d join r on r.id = d.doc_id left join n on n.doc_id = d.doc_id group by d.doc_id""",
+    "op5_repeats": f"""
+        with d as (select doc_id, {_SPACE} as w from documents),
+        v as (select doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) as h from d, unnest(generate_series(1, len(w) - 49)) t(i) where len(w) >= 50),
+        m as (select doc_id, i from v where h in (select h from v group by h having count(distinct doc_id) > 1)),
+        g as (select doc_id, i, coalesce(i - lag(i) over (partition by doc_id order by i) > 50, false) as fresh from m),
+        k as (select doc_id, i, sum(fresh::int) over (partition by doc_id order by i) as part from g)
+        select doc_id, cast(min(i) - 1 as int) as start, cast(max(i) + 49 as int) as stop, max(i) - min(i) + 50 as n_words from k group by doc_id, part""",
+    "op8_chat": r"""
+        with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all select * from (values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')) t(conv_id, turn, role, text)),
+        k as (select *, len(regexp_extract_all(role || chr(10) || text, '<\\*/?s>|\[\\*/?INST\]')) as controls from c)
+        select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+        coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars, sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+        sum(20 + length(role) + length(text) + controls)::bigint as formatted_chars from k group by conv_id""",
+}
