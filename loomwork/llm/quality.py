@@ -3,7 +3,7 @@
 A fixed base rule rejects texts under 50 words or with over half of their words in repeated 3-word windows. Each
 further rule rejects a text when one ratio exceeds a cutoff. Cutoffs are picked per stratum (language) from
 labelled rows: going from the most lenient cutoff to the strictest, a cutoff is certified while the exact
-binomial test refutes a false-rejection rate above ``risk`` divided by the number of rules. The sequence
+binomial test refutes a false-rejection rate above the rule's share of ``risk``. The sequence
 stops at the first failure, which needs no correction inside it; over strata and rules the level is divided by
 their number (Bonferroni). So with probability 1 - ``level`` no stratum loses over ``risk`` of its good texts to the
 rules. Of the certified cutoffs the one that separates the labels best is taken; without one the rule is off.
@@ -35,6 +35,8 @@ RULES = {
     "dup_lines": ("n_dup_lines", "n_lines"),
     "upper": ("n_upper", "word_chars"),
 }
+#: Parts of the risk that the rules may spend. The rule that tells most gets most, so that small strata can certify it.
+SHARES = {"symbols": 0.6, "repeats": 0.2, "dup_lines": 0.1, "upper": 0.1}
 #: Cutoffs that are tried, from lenient to strict: 1.00, 0.98, ... 0.02.
 STEPS = 50
 
@@ -111,7 +113,7 @@ def pick(good: list[int], bad: list[int], risk: float, level: float) -> float |
     return cutoff
 
 
-def calibrate(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang", risk: float = 0.04, level: float = 0.05) -> DataFrame:
+def calibrate(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang", risk: float = 0.05, level: float = 0.05) -> DataFrame:
     """Cutoffs by stratum: columns stratum and one per rule (null: the rule is off there).
 
     docs: doc_id, text, stratum column. labels: doc_id, quality (1 good, 0 bad); several labels of a document count
@@ -138,7 +140,7 @@ def calibrate(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang", risk
             for b, g, x in zip(own["bin"], own["good"], own["bad"], strict=True):
                 good[b] += int(g)
                 bad[b] += int(x)
-            out[r] = pick(good, bad, risk / len(RULES), per)
+            out[r] = pick(good, bad, risk * SHARES[r], per)
         return pd.DataFrame([out]).astype({r: "float64" for r in RULES})
 
     return counts.crossJoin(F.broadcast(strata)).groupBy("stratum").applyInPandas(choose, "stratum string, " + ", ".join(f"{r} double" for r in RULES))
@@ -164,7 +166,7 @@ def judge(docs: DataFrame, cutoffs: DataFrame, *, stratum: str = "lang", out: st
     return seen.join(table, key, "left").withColumn(free(out, docs.columns), verdict).drop(s, key, c)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang", risk: float = 0.04, level: float = 0.05) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang", risk: float = 0.05, level: float = 0.05) -> DataFrame:
     """The documents that pass; their columns."""
     out = free("quality", docs.columns)
     cutoffs = calibrate(docs, labels, stratum=stratum, risk=risk, level=level)

@@ -184,7 +184,7 @@ def test_cutoffs_keep_false_rejection_low(spark):
     assert {r.stratum for r in cut.collect()} == {"", "en"} and all(r.symbols is not None for r in cut.collect())
     kept = {r.doc_id for r in quality.judge(docs, cut).filter("quality.kept").collect()}
     good = {i for i in range(4000) if i % 5}
-    assert len(good - kept) <= 0.04 * len(good) and not kept - good
+    assert len(good - kept) <= 0.05 * len(good) and not kept - good
     # too few labels certify nothing: only the base rule is left
     few = quality.calibrate(docs, labels.limit(20))
     assert quality.judge(docs, few).filter("quality.kept").count() == 4000
