@@ -93,7 +93,7 @@ class PairTable:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         pairs = vocabulary.merge
-        self.mask = (1 << max(4, (len(pairs) * 16).bit_length())) - 1
+        self.mask = (1 << max(4, (len(pairs) * 4).bit_length())) - 1
         self.key = np.full(self.mask + 1, -1, np.int64)
         self.rank = np.full(self.mask + 1, NONE, np.int32)
         self.result = np.zeros(self.mask + 1, np.int32)
@@ -261,7 +261,7 @@ class Lexicon:
 class Encoder:
     """Texts to ids (little-endian unsigned 32-bit). Words met lately are remembered, within a bound."""
 
-    LIMIT = 100_000
+    LIMIT = 60_000
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon) -> None:
         self.vocabulary, self.lexicon = vocabulary, lexicon
@@ -287,7 +287,7 @@ class Encoder:
         for k, ids in zip(short, self.pairs.merge([raw[k] for k in short]) if short else (), strict=True):
             self.known[new[k]] = ids.astype("<u4").tobytes()
 
-    def encode(self, texts: list[str | None], some: int = 1 << 20) -> list[bytes]:
+    def encode(self, texts: list[str | None], some: int = 1 << 19) -> list[bytes]:
         out: list[bytes] = []
         k = 0
         split, find = self.vocabulary.split_added, self.vocabulary.words.findall

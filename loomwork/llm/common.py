@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import json
 import os
 import tempfile
 from collections.abc import Iterator
@@ -12,6 +13,8 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomwork.session import ship
 
@@ -105,6 +108,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table of the driver's rows. It is parsed by the executors themselves: making it from Python objects would start
+    another pool of Python workers that stays."""
+    kind = spark.range(0).select(F.from_json(F.lit("{}"), schema).alias("x")).schema["x"].dataType
+    data = json.dumps([dict(zip(kind.names, row, strict=True)) for row in rows], ensure_ascii=False)
+    return spark.range(1).select(F.explode(F.from_json(F.lit(data), T.ArrayType(kind))).alias("x")).select("x.*")
+
+
 def stream_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """Groups of rows with equal keys from batches that come sorted by keys; holds one group at a time."""
     rest: list[pd.DataFrame] = []

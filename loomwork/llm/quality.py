@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, free, relax, shingle_hashes, utf8
+from .common import WordHash, free, relax, shingle_hashes, stored, utf8
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long"
 _SYMBOLS = b"#*$%&|<>"
@@ -153,13 +153,12 @@ MOST_STRATA = 10_000
 def judge(docs: DataFrame, cutoffs: DataFrame, *, stratum: str = "lang", out: str = "quality") -> DataFrame:
     """docs with a column ``out``: struct of the counts, base_failed and kept. Null and empty texts fail the base rule;
     a stratum without cutoffs has just that rule. All rows and columns stay."""
-    spark = docs.sparkSession
-    rows = cutoffs.limit(MOST_STRATA + 1).collect()
+    cutoffs = stored(cutoffs)
     s, key = free("stats", docs.columns), free("stratum", docs.columns)
     c = free("cutoffs", [*docs.columns, s, key])
     table = cutoffs.select(F.col("stratum").alias(key), F.struct(*RULES).alias(c))
-    if len(rows) <= MOST_STRATA:
-        table = F.broadcast(spark.createDataFrame([(x.stratum, tuple(x[r] for r in RULES)) for x in rows], table.schema))
+    if cutoffs.count() <= MOST_STRATA:
+        table = F.broadcast(table)
     seen = docs.withColumn(s, text_stats(F.col("text"))).withColumn(key, F.coalesce(F.col(stratum).cast("string"), F.lit("")))
     above = reduce(lambda a, b: a | b, [F.coalesce(_ratio(s, r) > F.col(f"{c}.{r}"), F.lit(False)) for r in RULES])
     verdict = F.struct(f"{s}.*", base_failed(s).alias("base_failed"), (~base_failed(s) & ~above).alias("kept"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, decontaminate, html, neardup, passages, quality, repeats, secrets, shard
-from .common import table
+from .common import local_rows, table
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +76,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
-    more = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], rows.schema)
+    more = local_rows(spark, [(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
     chats = chat.chat_format(chat.from_turn_rows(rows.unionByName(more))).select("conv_id", "chat")
     turn = F.transform("read.turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return chat.chat_read(chats).select(

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free, shuffle_partitions, stored
+from .common import free, local_rows, shuffle_partitions, stored
 
 
 def ring(shards: int, vnodes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,9 +126,9 @@ def assign(
     lookup = []
     for x in sorted(found, key=lambda x: (x.part, x.arc)):
         gap = x.last - x.first + 1 - x.n  # rows of other arcs between the two runs of a wrapped arc
-        lookup.append((x.part, x.arc, int(x.first), seen[x.arc], gap, spread[x.arc]))
+        lookup.append((x.part, x.arc, int(x.first), seen[x.arc], gap, [{"rank": a, "shard": int(b), "slot": c} for a, b, c in spread[x.arc]]))
         seen[x.arc] += x.n
-    ways = spark.createDataFrame(lookup, "part int, arc int, first long, before long, gap long, pieces array<struct<rank:long,shard:int,slot:long>>")
+    ways = local_rows(spark, lookup, "part int, arc int, first long, before long, gap long, pieces array<struct<rank:long,shard:int,slot:long>>")
     # rank within the arc; a second run in the same partition starts after the gap
     rank = F.col("before") + F.when(F.col("gap") == 0, F.col("at") - F.col("first"))
     ranked = placed.join(F.broadcast(ways), ["part", "arc"])
