@@ -24,6 +24,10 @@ from .common import WordHash, lower_space_words, shingle_hashes, shuffle_partiti
 from .components import keyed_join
 from .neardup import text_key
 
+#: Tasks over which the rows of one frequent window are spread.
+SALTS = 32
+
+
 def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
     """Positions of the least of each ``window`` neighbours, the leftmost of equal ones; sorted, without repeats."""
     n = len(grams)
@@ -192,8 +196,8 @@ def merge_spans(spans: DataFrame) -> DataFrame:
 
 def expand(spans: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, total: int) -> DataFrame:
     """Spans of one text each to all documents with the text; a text of several documents is a span as a whole.
-    nodes: text_key, n (documents), n_words."""
-    whole = nodes.filter(F.col("n") > 1).filter(F.col("n_words") >= length)
+    nodes: text_key, n (rows), node and last (least and greatest doc_id), n_words."""
+    whole = nodes.filter("node < last").filter(F.col("n_words") >= length)
     parts = spans.join(whole.select("text_key"), "text_key", "left_anti").join(nodes.select("text_key", "n"), "text_key").select("text_key", "n", "start", "stop")
     every = parts.unionByName(whole.select("text_key", "n", F.lit(0).alias("start"), F.col("n_words").cast("int").alias("stop")))
     listed = stored(every.groupBy("text_key").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans")))
@@ -215,7 +219,7 @@ def repeated_passages(docs: DataFrame, *, length: int = 50, anchor: int = 17, mo
         seen.withColumn("a", _anchors(F.col("text"), length, anchor))
         .select("doc_id", "text_key", "a.*")
         .groupBy("text_key")
-        .agg(F.min("doc_id").alias("node"), F.count_distinct("doc_id").alias("n"), F.first("n_words").alias("n_words"), F.first("runs").alias("runs"), F.first("places").alias("places"))
+        .agg(F.min("doc_id").alias("node"), F.max("doc_id").alias("last"), F.count("*").alias("n"), F.first("n_words").alias("n_words"), F.first("runs").alias("runs"), F.first("places").alias("places"))
     )
     total = nodes.agg(F.sum("n"), F.sum(F.size("runs"))).first()
     anchors = nodes.select("node", F.explode(F.arrays_zip(F.col("runs").alias("run"), F.col("places").alias("place"))).alias("x")).select("node", "x.run", "x.place")
@@ -232,8 +236,9 @@ def repeated_passages(docs: DataFrame, *, length: int = 50, anchor: int = 17, mo
 
     spans = dealt.mapInPandas(match, "text_key binary, node long, start int, stop int")
     if not runs.filter("hot").isEmpty():
-        windows = stored(_contexts(texts, length, anchor, True))
-        counts = stored(windows.groupBy("window").agg(F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("window", "n"))
-        again = keyed_join(windows, counts, "window", "n", windows.count())
+        # in the same query, so that the texts are shuffled once for both; a frequent window is spread by a salt
+        windows = _contexts(texts, length, anchor, True)
+        counts = windows.groupBy("window").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("window", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        again = windows.withColumn("salt", F.pmod(F.xxhash64("node", "place"), F.lit(SALTS)).cast("int")).join(counts, ["window", "salt"])
         spans = spans.unionByName(again.select("text_key", "node", F.col("place").alias("start"), (F.col("place") + length).alias("stop")))
-    return expand(merge_spans(spans), nodes.select("text_key", "n", "n_words"), docs, length, total[0] or 0)
+    return expand(merge_spans(spans), nodes.select("text_key", "node", "last", "n", "n_words"), docs, length, total[0] or 0)
