@@ -12,6 +12,7 @@ rules. Of the certified cutoffs the one that separates the labels best is taken;
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -41,6 +42,10 @@ SHARES = {"symbols": 0.6, "repeats": 0.2, "dup_lines": 0.1, "upper": 0.1}
 STEPS = 50
 
 
+#: Words beyond which repeated windows are found over hashes.
+LONG = 50_000
+
+
 def stats(text: str | None, words_of: WordHash) -> tuple[int, ...]:
     """Counts of one text; null has none of anything."""
     data = utf8(text)
@@ -49,15 +54,23 @@ def stats(text: str | None, words_of: WordHash) -> tuple[int, ...]:
     chars = len(data.translate(None, _SPACE + _FOLLOW))
     lines = [x for x in data.split(b"\n") if x.strip()]
     repeats = 0
-    if n >= 4:
+    if 4 <= n <= LONG:
+        windows = list(zip(words, words[1:], words[2:], strict=False))
+        if len(set(windows)) < len(windows):  # most texts end here
+            count = Counter(windows)
+            hit = bytearray(n)
+            for k, w in enumerate(windows):
+                if count[w] > 1:
+                    hit[k : k + 3] = b"\1\1\1"
+            repeats = sum(hit)
+    elif n > LONG:  # the same over hashes, whose memory is a tenth
         windows = shingle_hashes(words_of.array(words), 3)
         _, index, count = np.unique(windows, return_inverse=True, return_counts=True)
         again = count[index] > 1
-        if again.any():
-            hit = np.zeros(n, bool)
-            for k in range(3):
-                hit[k : n - 2 + k] |= again
-            repeats = int(hit.sum())
+        hit = np.zeros(n, bool)
+        for k in range(3):
+            hit[k : n - 2 + k] |= again
+        repeats = int(hit.sum())
     return (
         n, chars, len(data) - len(data.translate(None, _SYMBOLS)), len(lines) - len(set(lines)), repeats, len(lines),
         len(data) - len(data.translate(None, _UPPER)),
