@@ -38,11 +38,14 @@ CUES = _names(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted cookie cookies consent gdpr notice notices alert "
     "popup modal overlay newsletter subscribe subscription paywall sidebar sidebars aside widget widgets related recommended recommendations share sharing social "
     "comment comments commentlist disqus reply replies respond discussion reactions breadcrumb breadcrumbs menu menus nav navbar navigation navigationbar "
-    "footer masthead pagination pager login signin signup search skip copyright disclaimer toolbar complementary contentinfo"
+    "footer foot topbar masthead legal warning rail pagination pager login signin signup search skip copyright disclaimer toolbar complementary contentinfo"
 )
 #: Elements that such words don't hide, but for the first set: comments may be articles too.
 NEVER = _names("html body main h1 h2 h3 h4 h5 h6")
-COMMENTS = _names("comment comments reply replies ad ads advert advertisement sponsored promo related")
+COMMENTS = _names("comment comments commentlist disqus reply replies ad ads advert advertisement sponsored promo related teaser card preview")
+#: Words beside a cue that tell a layout ("with-sidebar") and not the thing itself; elements that end an open one of their kind.
+LAYOUT = _names("with has no without layout")
+ITEMS = _names("li td th tr dt dd option")
 
 _TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -54,22 +57,25 @@ _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in HIDDEN}
 
 
-def cued(name: str, attrs: str) -> bool:
-    """Whether the attributes mark the element as not of the article."""
+def cued(name: str, attrs: str, inside: bool = False) -> str:
+    """How the attributes mark the element as not of the article: "hard" if nothing in it can be, "soft" if an article may still
+    stand in it, else nothing. A header by class counts outside articles only."""
     if not attrs or name in NEVER:
-        return False
+        return ""
     for key, value in _ATTR.findall(attrs):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return "hard"
         if key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
+                return "hard"
         else:
             words = {w.lower() for w in _PART.findall(value)}
-            if words & (COMMENTS if name == "article" else CUES):
-                return True
-    return False
+            if words & COMMENTS and (name == "article" or words & COMMENTS & CUES):
+                return "hard"
+            if name != "article" and not words & LAYOUT and (words & CUES or "header" in words and not inside):
+                return "soft"
+    return ""
 
 
 @dataclass
@@ -87,6 +93,7 @@ class _Open:
     out: bool
     inside: bool
     head: bool = False
+    soft: bool = True
 
 
 @dataclass
@@ -99,7 +106,8 @@ class _Blocks:
         text = " ".join("".join(self.parts).split())
         if text:
             shown = not top.out
-            self.lines.append(Line(text if shown else "", max(0, len(text) - self.linked) if shown else 0, top.inside))
+            own = len(text) - self.linked if 2 * self.linked < len(text) else 0  # a line of links is no text
+            self.lines.append(Line(text if shown else "", own if shown else 0, top.inside))
         self.parts, self.linked = [], 0
 
 
@@ -159,24 +167,26 @@ def blocks(page: str) -> list[Line]:
             continue
         top = stack[-1]
         block = name in BLOCKS or name in OUTSIDE
-        if name == "p" and top.name == "p":  # a paragraph ends the one before
+        if block and (top.name == "p" or name == top.name and name in ITEMS):  # ends what was left open
             out.flush(top)
             stack.pop()
             top = stack[-1]
-        mark = cued(name, attrs)
+        mark = cued(name, attrs, top.inside)
         if not (block or mark):
             continue
+        out.flush(top)
         if block:
-            out.flush(top)
             links = 0
-        hidden = top.out or mark or name in OUTSIDE or name == "header" and not top.inside
+        own = name in OUTSIDE or name == "header" and not top.inside
+        hidden = top.out or bool(mark) or own
         head = name == "header" and top.inside or top.head
         if head:  # of an article's header only headings are text
-            hidden = name not in ("h1", "h2", "h3", "h4", "h5", "h6", "hgroup") or mark
+            hidden = name not in ("h1", "h2", "h3", "h4", "h5", "h6", "hgroup") or bool(mark)
+        soft = top.soft and not own and mark != "hard"
+        if name in ("article", "main") and not mark and soft:
+            hidden = False  # what stands around it was only a layout
         inside = top.inside or name in ("article", "main") and not hidden
-        if mark and not block:
-            out.flush(top)
-        stack.append(_Open(name, hidden, inside, head))
+        stack.append(_Open(name, hidden, inside, head, soft))
     out.flush(stack[-1])
     return out.lines
 

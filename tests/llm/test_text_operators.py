@@ -343,6 +343,14 @@ def test_page_without_an_article_element():
     assert len(got) == 7 and got[0].startswith("Sentence number 0") and got[-1] == "Short end."
 
 
+def test_layouts_and_open_elements():
+    page = """<body class="has-sidebar"><div class="wrap sidebar-right"><div class="site-header"><p>Logo</p></div><main><article class="post"><header><h1>Head</h1><p>By me</p></header>
+    <p class="notice">Beware<p>First<ul><li class="ad">buy<li>point one<li>point two</ul><div class="article-header">Sub</div>text<aside>no</aside></article>
+    <article class="teaser"><p>Read also</p></article></main><div class="rail">rail</div></div><div id="disqus_thread"><article><p>I say so</p></article></div></body>"""
+    assert html.main_text(page) == "Head\nFirst\npoint one\npoint two\nSub\ntext"
+    assert html.main_text("<div class='menu'>m</div><div>That it.</div><div class='footer'>f</div>") == "That it."
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<!-- open", "<script>never closed", "<article></article>", "<nav>only</nav>", "</p></div>"])
 def test_pages_without_text(page):
     assert html.main_text(page) == "" or page in ("<",)
