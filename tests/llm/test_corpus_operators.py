@@ -44,6 +44,8 @@ def plain_ring(keys, shards, vnodes, caps, points, owner, pos):
 def test_assignment_equals_the_plain_ring(spark):
     docs = spark.range(500).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id")).alias("text"))
     got = {r.doc_id: r for r in shard.assign(docs, shards=5, vnodes=4).collect()}
+    alone = {r.doc_id: r for r in shard.assign(docs, shards=5, vnodes=4, partitions=1).collect()}  # an arc around the ring's end in one task
+    assert alone == got
     pos = {r.doc_id: (r.p & (1 << 64) - 1) ^ (1 << 63) for r in docs.select("doc_id", shard._text_key(F.col("doc_id")).alias("p")).collect()}
     pos = {k: np.uint64(v) for k, v in pos.items()}
     points, owner = shard.ring(5, 4)
