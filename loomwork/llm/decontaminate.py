@@ -225,6 +225,7 @@ def contamination(
     words hit. Rows are kept as they are, repeated ones too. Other columns pass through, whatever their names.
     """
     spark = docs.sparkSession
+    out = free(out, docs.columns)
     parts = []
     result = docs
     for k, block in enumerate(item_blocks(items, block_words)):

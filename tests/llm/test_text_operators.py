@@ -72,6 +72,7 @@ def test_contamination_in_blocks_and_awkward_rows(spark):
     assert a.columns == [*docs.columns, "contamination"]
     key = lambda r: (r.doc_id is None, r.doc_id, r.text or "")
     assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
+    assert decontaminate.contamination(docs, items, out="OUT").columns == [*docs.columns, "_OUT"]
     own = [("1", "one"), ("3", "p3 p4 p5 p6"), ("x", "two words"), ("4", " ".join(f"p{i}" for i in range(30)))]
     for r in a.collect():
         n, hit, names = plain_hits(own, r.text, 5)
