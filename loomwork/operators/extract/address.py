@@ -26,21 +26,22 @@ NEIGHBOUR = r"ближайш\w+\s+жил\w+|жилой\s+дом\s+по|этаж
 UNBUILT = r"не\s+(?:была\s+)?построен"
 
 _UP_TO = r"([^\n]{8,420})"
-#: Anchors in order of trust; the last ones, that need nothing but a region, aren't used on the whole text.
-ANCHORS: tuple[str, ...] = (
-    rf"адрес\w*\s+(?:размещения|места\s+размещения|объекта|расположения|установки)(?:\s+(?:ПРТО|РЭС|объекта|станции))?\s*[:\-–]\s*{_UP_TO}",
-    rf"(?:место\w*|местоположение)\s+(?:размещения|расположения|нахождения|установки)?(?:\s+(?:ПРТО|РЭС))?\s*[:\-–]\s*{_UP_TO}",
-    rf"(?m:^)адрес\s*[:\-–]\s*{_UP_TO}",
-    rf"по\s+адресу\s*[:\-–]?\s*{_UP_TO}",
-    rf"(?:размещ\w+|расположенн\w+|установленн\w+|располагается)\s*(?:в|на)?\s*[:\-–]\s*({REGION}[^\n]{{8,400}})",
-    rf"(?:ПРТО|РЭС|станци\w+|БС)\s[^\n]{{0,160}}?[,(:]\s*({REGION}[^\n]{{8,400}})",
-    rf"адрес\s*[:\-–]\s*{_UP_TO}",
-    rf"\b(\d{{6}},\s*{REGION}[^\n]{{8,400}})",
-    rf"({REGION}[,\s][^\n]{{8,400}})",
+#: Anchors in order of trust: words in any case, then the address as it is written. The last ones, that need nothing but a
+#: region, aren't used on the whole text.
+ANCHORS: tuple[tuple[str, str], ...] = (
+    (r"адрес\w*\s+(?:размещения|места\s+размещения|объекта|расположения|установки)(?:\s+(?:ПРТО|РЭС|объекта|станции))?\s*[:\-–]\s*", _UP_TO),
+    (r"(?:место\w*|местоположение)\s+(?:размещения|расположения|нахождения|установки)?(?:\s+(?:ПРТО|РЭС))?\s*[:\-–]\s*", _UP_TO),
+    (r"(?m:^)адрес\s*[:\-–]\s*", _UP_TO),
+    (r"по\s+адресу\s*[:\-–]?\s*", _UP_TO),
+    (r"(?:размещ\w+|расположенн\w+|установленн\w+|располагается)\s*(?:в|на)?\s*[:\-–]\s*", rf"({REGION}[^\n]{{8,400}})"),
+    (r"(?:ПРТО|РЭС|станци\w+|БС)\s[^\n]{0,160}?[,(:]\s*", rf"({REGION}[^\n]{{8,400}})"),
+    (r"адрес\s*[:\-–]\s*", _UP_TO),
+    (r"\b", rf"(\d{{6}},\s*{REGION}[^\n]{{8,400}})"),
+    (r"", rf"({REGION}[,\s][^\n]{{8,400}})"),
 )
 BROAD = 2
 
-_ANCHORS = tuple(re.compile(f"(?i:{a})" if "REGION" not in a else a, re.I) for a in ANCHORS)
+_ANCHORS = tuple(re.compile(f"(?i:{words}){rest}") for words, rest in ANCHORS)
 _REGION, _PLACE, _STREET = re.compile(REGION), re.compile(PLACE, re.I), re.compile(STREET, re.I)
 _FOREIGN, _NEIGHBOUR, _UNBUILT = (re.compile(p, re.I) for p in (FOREIGN, NEIGHBOUR, UNBUILT))
 _DISTANCE = re.compile(r",\s*(?:примерно\s+)?\d+(?:[.,]\d+)?\s*к?м\s+(?:на\s+)?\w*(?:восточ|запад|север|южн|юг)\w*", re.I)
