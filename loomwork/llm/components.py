@@ -24,19 +24,24 @@ def keyed_join(rows: DataFrame, keyed: DataFrame, key: str, count: str, total: i
     return hot_rows.unionByName(rest.join(keyed.filter(F.col(count) <= least).drop(count), key))
 
 
-def _large_star(edges: DataFrame, total: int) -> DataFrame:
+def _least(edges: DataFrame, rows: DataFrame, total: int, hot: bool) -> DataFrame:
+    """rows (a, b) with m, the smallest neighbour of a along ``edges``. Only where there are hot nodes are the minima stored and
+    joined apart for them."""
+    if not hot:
+        return rows.join(edges.groupBy("a").agg(F.min("b").alias("m")), "a")
+    return keyed_join(rows, stored(edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))), "a", "n", total)
+
+
+def _large_star(edges: DataFrame, total: int, hot: bool) -> DataFrame:
     """Each node's larger neighbours are linked to the smallest in its neighbourhood."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = stored(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
-    joined = keyed_join(both.filter("b > a"), least, "a", "n", 2 * total)
-    return joined.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
+    return _least(both, both.filter("b > a"), 2 * total, hot).select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame, total: int) -> DataFrame:
+def _small_star(edges: DataFrame, total: int, hot: bool) -> DataFrame:
     """Each node and its smaller neighbours are linked to the smallest of them. Edges point from larger to smaller."""
-    least = stored(edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
-    joined = keyed_join(edges, least, "a", "n", total)
-    return joined.select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").filter("a <> b").distinct()
+    pairs = F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+    return _least(edges, edges, total, hot).select(F.explode(pairs).alias("e")).select("e.*").filter("a <> b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -44,12 +49,17 @@ def components(edges: DataFrame) -> DataFrame:
     repeated edges don't matter; without edges the result is empty. Every round is checkpointed."""
     now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
 
-    def state(e: DataFrame) -> tuple:
-        x = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        return tuple(x)
+    def state(e: DataFrame) -> tuple[int, object, int]:
+        """Edges, a checksum of them, and the most edges of a node, in one job."""
+        ends = e.select("a", F.xxhash64("a", "b").alias("h")).union(e.select("b", F.xxhash64("a", "b")))
+        per = ends.groupBy("a").agg(F.count("*").alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("h"))
+        x = per.agg(F.sum("n"), F.sum("h"), F.max("n")).first()
+        return (x[0] or 0) // 2, x[1], x[2] or 0
 
     last, mark = None, state(now)
     while mark != last and mark[0]:
-        now = stored(_small_star(_large_star(now, mark[0]), mark[0]))
+        # a large star leaves no node with more smaller neighbours than it had neighbours
+        hot = mark[2] > HOT_ROWS
+        now = stored(_small_star(_large_star(now, mark[0], hot), mark[0], hot))
         last, mark = mark, state(now)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
