@@ -41,7 +41,7 @@ class Rule:
 
 #: The base rules and the further ones.
 BASE = (
-    Rule("assign", rf"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[{_VALUE}]{{12}}""", rf"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([{_VALUE}]+)""", 2, 12, True),
+    Rule("assign", rf"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[{_VALUE}]{{12}}""", rf"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([{_VALUE}]+)""", 2, 12, True),
     Rule("access", r"AKIA[A-Z0-9]{2}", r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", r"[0-9a-f]{16}", r"[0-9a-f]+", 0, 16),
 )

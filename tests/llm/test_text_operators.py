@@ -108,10 +108,12 @@ def test_automaton_finds_what_the_expressions_find():
     parts = ["token", "secret", "password", " ", "=", ":", "'", '"', "a", "f", "0", "9", "AKIA", "Z", "/", "\n", "é", "api_key", "apikey", "ToKeN", "-", "gh", "ghp_", "eyJ", ".", "xoxb-",
              "aaaaaaaaaaaa", "0123456789abcdef", "ABCDEFGHIJKLMN", "-----BEGIN ", "PRIVATE KEY-----"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(4000)]
+    texts += ["pa\u017f\u017fword = abcdefghijklmnop token = abcdefabcdef12", "api_\u212aey=abcdefghijklmnop"]  # letters that only look like s and k
     texts += [None, "", "a" * 50_000, "token " * 3000 + "= abcdefabcdef12"]
     found = secrets.Scanner().spans(texts)
     for k, text in enumerate(texts):
         assert found.get(k, []) == plain_spans(text or "")
+    assert [s for s, k, _ in found[4000] if k == 0] == [28] and 4001 not in found
 
 
 def test_automaton_is_minimal_and_total():
