@@ -261,9 +261,8 @@ class Lexicon:
 class Encoder:
     """Texts to ids (little-endian unsigned 32-bit). Words met lately are remembered, within a bound."""
 
-    LIMIT = 60_000
-
-    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon) -> None:
+    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon, remember: int = 60_000) -> None:
+        self.remember = remember
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.pairs = PairTable(vocabulary)
         self.known: dict[str, bytes] = {}
@@ -272,7 +271,7 @@ class Encoder:
         self.pieces = [vocabulary.piece.get(i, b"") for i in range(top + 1)]
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > self.LIMIT:
+        if len(self.known) + len(words) > self.remember:
             self.known.clear()
         new = [w for w in words if w not in self.known]
         raw = [w.encode("utf-8", "replace") for w in new]
@@ -287,7 +286,8 @@ class Encoder:
         for k, ids in zip(short, self.pairs.merge([raw[k] for k in short]) if short else (), strict=True):
             self.known[new[k]] = ids.astype("<u4").tobytes()
 
-    def encode(self, texts: list[str | None], some: int = 1 << 19) -> list[bytes]:
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        some = 8 * self.remember  # characters at a time: about as many words as are remembered
         out: list[bytes] = []
         k = 0
         split, find = self.vocabulary.split_added, self.vocabulary.words.findall
@@ -322,12 +322,12 @@ class Encoder:
 _encoders: dict[int, Encoder] = {}
 
 
-def worker_encoder(vocabulary: bytes, lexicon: bytes) -> Encoder:
+def worker_encoder(vocabulary: bytes, lexicon: bytes, remember: int) -> Encoder:
     """The worker's encoder for these; it is made once and serves all tasks."""
-    key = hash((vocabulary, lexicon))
+    key = hash((vocabulary, lexicon, remember))
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(Vocabulary(vocabulary), Lexicon(worker_file("lexicon", lexicon)))
+        _encoders[key] = Encoder(Vocabulary(vocabulary), Lexicon(worker_file("lexicon", lexicon)), remember)
     return _encoders[key]
 
 
@@ -350,9 +350,10 @@ def lexicon_of(vocabulary: Vocabulary, words: list[str]) -> bytes:
     return compile_lexicon(own)
 
 
-def encode(docs: DataFrame, tokenizer: str, *, lexicon_words: int = 10_000, decoded: bool = False, out: str = "bpe") -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, *, lexicon_words: int = 10_000, decoded: bool = False, remember: int = 60_000, out: str = "bpe") -> DataFrame:
     """docs with a column ``out``: struct of ids (packed little-endian unsigned 32-bit integers) and, if asked for, the
-    text decoded from them (else null). tokenizer: path of the vocabulary file on the driver.
+    text decoded from them (else null). tokenizer: path of the vocabulary file on the driver. remember: words whose ids a
+    worker keeps; more of them cost memory and save merges.
 
     Added tokens written in a text are encoded as such, as the tokenizers library does. A null text is encoded
     like an empty one, without ids. All rows and columns stay. The vocabulary and the lexicon, whose sizes don't
@@ -366,7 +367,7 @@ def encode(docs: DataFrame, tokenizer: str, *, lexicon_words: int = 10_000, deco
 
     @F.pandas_udf("ids binary, decoded string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = worker_encoder(*shared.value)
+        encoder = worker_encoder(*shared.value, remember)
         for batch in batches:
             ids = encoder.encode(list(batch))
             yield pd.DataFrame({"ids": ids, "decoded": [encoder.decode(x) if decoded else None for x in ids]})

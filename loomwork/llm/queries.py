@@ -64,7 +64,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"), decoded=True).select("doc_id", "bpe")
+    coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"), decoded=True, remember=200_000).select("doc_id", "bpe")
     return coded.select(
         "doc_id",
         (F.octet_length("bpe.ids") / 4).cast("long").alias("n_tokens"),
