@@ -245,6 +245,30 @@ def test_every_exact_repeat_is_a_near_duplicate(spark, sf_dir):
         assert sum(len(where[g]) > 1 for g in mine) >= 0.75 * len(mine)
 
 
+def test_all_alike_stretches_of_a_box_are_found():
+    rng = np.random.default_rng(5)
+    part = lambda n: rng.integers(0, 1 << 32, n, np.uint64).astype(np.uint32)
+    p, q, short, other = part(196), part(196), part(46), part(46)
+    cases = [
+        ([p, part(4), q], [p, part(154), q], (p, q)),  # an insertion in the middle
+        ([short, part(4), other], [short, part(104), other], (short, other)),
+        ([p, part(4), q], [q, part(154), p], (p, q)),  # swapped
+        ([p], [p, part(60), p], (p,)),  # twice
+        ([p], [part(30), p, part(400), p, part(9), q], (p,)),
+        ([p, part(20), q, part(90), short], [short, part(300), q, part(70), p, part(200), q], (p, q, short)),
+    ]
+    for a, b, shared in cases:
+        for x, y in ((a, b), (b, a)):
+            x, y = np.concatenate(x), np.concatenate(y)
+            found = passages.alike(x, y, 46, 80)
+            for text, spans in ((x, [f[:2] for f in found]), (y, [f[2:] for f in found])):
+                places = {k for s, e in spans for k in range(s, e)}
+                assert places >= set(np.flatnonzero(np.isin(text, np.concatenate(shared))).tolist())
+            for s, e, u, v in found:
+                one, two = set(x[s:e].tolist()), set(y[u:v].tolist())
+                assert e - s >= 46 and v - u >= 46 and len(one & two) >= 0.8 * len(one | two)
+
+
 def test_passages_with_changed_words_are_found(spark):
     rng = random.Random(10)
     docs = []
