@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import inspect
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -269,6 +271,12 @@ def test_all_alike_stretches_of_a_box_are_found():
                 assert e - s >= 46 and v - u >= 46 and len(one & two) >= 0.8 * len(one | two)
 
 
+def test_functions_are_enough_for_pairs_at_the_threshold():
+    given = {k: v.default for k, v in inspect.signature(passages.near_passages).parameters.items()}
+    n, p = given["hashes"], given["percent"] / 100
+    assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(given["enough"])) < 1e-4
+
+
 def test_passages_with_changed_words_are_found(spark):
     rng = random.Random(10)
     docs = []
