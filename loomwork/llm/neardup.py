@@ -154,7 +154,7 @@ def _verified(texts: DataFrame, k: int, percent: int, hashes: int) -> DataFrame:
         words_of, minhash = WordHash(), MinHash(hashes)
         out: list[tuple[int, int]] = []
         for group in stream_groups(batches, ["comp", "lo", "hi"]):
-            group = group.sort_values(["block", "node"], kind="stable").drop_duplicates("node")
+            group = group.sort_values(["block", "node"], kind="stable").drop_duplicates(["node", "text"])  # an id with two texts has a set for each
             nodes = group["node"].tolist()
             sets = [shingle_set(t, words_of, k) for t in group["text"]]
             keep = [i for i, s in enumerate(sets) if len(s)]
@@ -164,7 +164,7 @@ def _verified(texts: DataFrame, k: int, percent: int, hashes: int) -> DataFrame:
             block = group["block"].to_numpy()[keep]
             cross = None if group["lo"].iloc[0] == group["hi"].iloc[0] else int((block == block.min()).sum())
             signature = minhash.minima(np.concatenate(sets), np.cumsum([0] + [len(s) for s in sets[:-1]]))
-            out += [(nodes[i], nodes[j]) for i, j in links_of(sets, signature, cross, percent)]
+            out += [(nodes[i], nodes[j]) for i, j in links_of(sets, signature, cross, percent) if nodes[i] != nodes[j]]
             if len(out) > 10_000:
                 yield pd.DataFrame(out, columns=["a", "b"])
                 out = []

@@ -163,6 +163,13 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 5, 6, 8, 13]
 
 
+def test_both_texts_of_an_id_are_linked(spark):
+    one, two = ([f"{c}{i}" for i in range(200)] for c in "xy")
+    near = lambda words: " ".join(words[:-1] + ["changed"])
+    docs = spark.createDataFrame([(1, " ".join(one)), (1, " ".join(two)), (2, near(one)), (3, near(two))], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()} == {1: 1, 2: 1, 3: 1}
+
+
 # --- repeated passages
 
 
