@@ -41,4 +41,11 @@ ORACLE: dict[str, str] = {
         select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
         coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars, sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
         sum(20 + length(role) + length(text) + controls)::bigint as formatted_chars from k group by conv_id""",
+    # the driver's pages all mark their article, once, as <article>, and hold paragraphs, a heading, bold text and line breaks in it
+    "op9_html": r"""
+        with a as (select page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) as x from pages),
+        b as (select page_id, url, list_transform(regexp_split_to_array(x, '</?(?:p|h1)>'), lambda t: regexp_replace(t, '</?(?:b|br)>', ' ', 'g')) as parts from a),
+        c as (select page_id, url, list_transform(parts, lambda t: regexp_replace(replace(replace(replace(replace(t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&#39;', chr(39)), '&amp;?', '&', 'g')) as parts from b),
+        d as (select page_id, url, array_to_string(list_filter(list_transform(parts, lambda t: trim(regexp_replace(t, '\s+', ' ', 'g'))), lambda t: t <> ''), chr(10)) as text from c)
+        select page_id, url, coalesce(text, '') as text, cast(length(coalesce(text, '')) as bigint) as n_chars from d""",
 }

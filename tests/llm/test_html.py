@@ -8,9 +8,8 @@ import re
 import time
 
 import duckdb
-import pytest
 
-from loomwork.llm import html, oracle, queries
+from loomwork.llm import html, queries
 
 VOWELS, CONSONANTS = "aeiou", "bcdfglmnprst"
 
@@ -130,8 +129,3 @@ def test_query_equals_an_independent_extractor(spark, sf_dir):
         inner = pages[r.page_id][1].partition("<article>")[2].partition("</article>")[0]
         parts = (" ".join(entities.unescape(re.sub(r"</?(?:b|br)>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", inner))
         assert (r.url, r.text, r.n_chars) == (pages[r.page_id][0], want := "\n".join(p for p in parts if p), len(want))
-
-
-@pytest.mark.skipif("op9_html" not in oracle.ORACLE, reason="no SQL")
-def test_sql_is_registered():
-    assert oracle.ORACLE["op9_html"]

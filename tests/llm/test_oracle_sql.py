@@ -12,7 +12,7 @@ from loomwork.llm.queries import QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "pages", "labels"):
         con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
     got = con.execute(ORACLE[name])
     columns = [c[0] for c in got.description]

@@ -359,17 +359,6 @@ def test_pages_without_text(page):
     assert html.main_text(page) == "" or page in ("<",)
 
 
-def test_html_query(spark, sf_dir):
-    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
-    rows = queries.op9_html(spark, sf_dir).collect()
-    assert len(rows) == len(pages)
-    for r in rows:
-        page = pages[r.page_id]
-        inner = page[page.index("<article>") + 9 : page.index("</article>")]
-        blocks = [" ".join(re.sub(r"</?(b|br)>", " ", x).replace("&amp;", "&").replace("&lt;", "<").replace("&gt;", ">").split()) for x in re.split(r"</?(?:p|h1)>", inner)]
-        assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
-
-
 def test_html_of_awkward_rows(spark):
     docs = spark.createDataFrame([(1, None, "t"), (2, "", "t"), (3, "<p>x</p>" * 20_000, "t"), (3, "<p>x</p>", "t")], "page_id long, html string, text string")
     out = html.extract(docs)
