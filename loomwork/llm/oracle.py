@@ -6,6 +6,27 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _ALNUM = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _SPACE = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 
+def _either(word: str) -> str:
+    """An expression of the word in letters of either case, and of no other that folds to them."""
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+_KEYS = "|".join(_either(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+#: Of the secret rules: kind, expression, group that must be so long at least.
+_SECRETS = (
+    ("assign", f"""({_KEYS})["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", "[0-9a-f]{16,}", 0, 16),
+    ("private", "-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:[^-]*-----END (?:[A-Z]+ )*PRIVATE KEY-----)?", 0, 0),
+    ("forge", "gh[opsu]_[A-Za-z0-9]{36,}", 0, 0),
+    ("chat", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
+)
+_FOUND = " union all ".join(
+    f"select doc_id, {k} as ord, '{kind}' as kind, {least} as least, regexp_extract_all(t, '{rx}') as m, regexp_extract_all(t, '{rx}', {group}) as g, regexp_split_to_array(t, '{rx}') as p from d where regexp_matches(t, '{rx}')"
+    for k, (kind, rx, group, least) in enumerate(_SECRETS)
+)
+
 ORACLE: dict[str, str] = {
     "op1_decontaminate": f"""
         with d as (select doc_id, {_ALNUM} as w from documents),
@@ -48,4 +69,12 @@ ORACLE: dict[str, str] = {
         c as (select page_id, url, list_transform(parts, lambda t: regexp_replace(replace(replace(replace(replace(t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&#39;', chr(39)), '&amp;?', '&', 'g')) as parts from b),
         d as (select page_id, url, array_to_string(list_filter(list_transform(parts, lambda t: trim(regexp_replace(t, '\s+', ' ', 'g'))), lambda t: t <> ''), chr(10)) as text from c)
         select page_id, url, coalesce(text, '') as text, cast(length(coalesce(text, '')) as bigint) as n_chars from d""",
+    "op4_secrets": f"""
+        with d as (select doc_id, coalesce(text, '') as t from documents), f as ({_FOUND}),
+        s as (select doc_id, ord, kind, least, length(g[i]) as own, length(m[i]) as n, cast(list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) as bigint) as start
+            from f, unnest(generate_series(1, len(m))) u(i)),
+        x as (select doc_id, ord, kind, start, kind || ':' || start || ':' || (start + n) as told from s where own >= least)
+        select d.doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+        sha256(coalesce(string_agg(told, ',' order by start, ord) filter (ord < 3), '')) as base_sha256, coalesce(string_agg(told, ',' order by start, ord), '') as spans
+        from d left join x using (doc_id) group by d.doc_id""",
 }

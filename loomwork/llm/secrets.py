@@ -1,17 +1,19 @@
-"""Secret scanning with one combined deterministic automaton.
-
-Each rule has a regular expression of its core, a text that every match holds. (Runs that are counted side by
-side multiply the states, so just the two common rules count their runs to the end.) The cores are parsed,
-turned into one nondeterministic automaton with a loop at its start, made deterministic by subset
-construction and minimised; the result is a transition array over byte classes, with a bit for each rule.
-Texts are scanned as one byte stream per batch: the stream is cut at bytes that send every state back to the
-start, so the pieces can be walked side by side, one array step per byte, all rules in the same pass. A
-rule's exact expression then fixes the bounds of the matches in just those texts where its bit came up.
+"""Secret scanning with automata compiled from rules.
+
+Each rule has three regular expressions over bytes. Its core ends where a match becomes certain to have begun. The cores of
+all rules are parsed, turned into one nondeterministic automaton with a loop at its start, made deterministic by subset
+construction and minimised; the result is a transition array over byte classes, with a bit for each rule. Texts are
+scanned as one byte stream per batch: the stream is cut at bytes that send every state back to the start, so the
+pieces can be walked side by side, one array step per byte, all rules in the same pass.
+
+The pass tells the places where cores end. From such a place the rule's second automaton, of what leads up to it, is walked
+backwards to the match's start, and its third, of the whole match, forwards from there to its end. So only matches are
+read again, and no other text; spans come from automata alone.
 """
 
 from __future__ import annotations
 
-import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,34 +24,43 @@ from pyspark.sql import functions as F
 
 from .common import free, utf8
 
-_VALUE = "A-Za-z0-9+/_.=-"
-
 
 @dataclass(frozen=True)
 class Rule:
-    """kind: name in spans. core: what the automaton looks for (literals, classes, ?, *, {n}, groups, |).
-    exact: expression whose leftmost non-overlapping matches are the spans. group, least: a match counts only
-    if that group has so many characters. fold: letters of either case."""
+    """kind: name in spans. core: what is searched for; for one match, cores end in the order in which matches start. lead: what
+    the match holds up to the core's end, if that isn't the core. whole: the match, as long as it can be. least: characters that a
+    match must have, from the core's last one on if ``value``. A match that has less is dropped, but its text is used up
+    if ``spent``. fold: letters of either case.
+
+    Expressions have literals, escapes, classes, groups, | and the marks ? * + {n} {n,}.
+    """
 
     kind: str
     core: str
-    exact: str
-    group: int = 0
+    whole: str
+    lead: str = ""
     least: int = 0
+    value: bool = False
+    spent: bool = True
     fold: bool = False
 
 
+_KEY = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
+_VALUE = "[A-Za-z0-9+/_.=-]"
+_PART = "[A-Za-z0-9_-]"
+_PEM = r"([A-Z]+ )*PRIVATE KEY-----"
+
 #: The base rules and the further ones.
 BASE = (
-    Rule("assign", rf"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[{_VALUE}]{{12}}""", rf"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([{_VALUE}]+)""", 2, 12, True),
-    Rule("access", r"AKIA[A-Z0-9]{2}", r"AKIA[A-Z0-9]+", 0, 18),
-    Rule("hex", r"[0-9a-f]{16}", r"[0-9a-f]+", 0, 16),
+    Rule("assign", f"{_KEY}{_VALUE}", f"{_KEY}{_VALUE}+", least=12, value=True, fold=True),
+    Rule("access", "AKIA[A-Z0-9]", "AKIA[A-Z0-9]+", least=18),
+    Rule("hex", "[0-9a-f]{16}", "[0-9a-f]+", lead="[0-9a-f]+", least=16),
 )
 MORE = (
-    Rule("private", r"-----BEGIN ", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:[^-]*-----END (?:[A-Z]+ )*PRIVATE KEY-----)?"),
-    Rule("forge", r"gh[opsu]_[A-Za-z0-9]{2}", r"gh[opsu]_[A-Za-z0-9]{36,}"),
-    Rule("chat", r"xox[abprs]-[A-Za-z0-9-]", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("jwt", r"eyJ", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("private", "-----BEGIN ", f"-----BEGIN {_PEM}([^-]*-----END {_PEM})?", spent=False),
+    Rule("forge", "gh[opsu]_[A-Za-z0-9]", "gh[opsu]_[A-Za-z0-9]{36,}", spent=False),
+    Rule("chat", "xox[abprs]-[A-Za-z0-9-]", "xox[abprs]-[A-Za-z0-9-]{10,}", spent=False),
+    Rule("jwt", rf"eyJ{_PART}*\.{_PART}", rf"eyJ{_PART}{{8,}}\.{_PART}{{8,}}\.{_PART}{{8,}}", spent=False),
 )
 RULES = BASE + MORE
 
@@ -58,7 +69,7 @@ RULES = BASE + MORE
 
 
 class _Parser:
-    """A small parser of the expressions used in cores; makes Thompson fragments."""
+    """A small parser of the rules' expressions; makes Thompson fragments."""
 
     def __init__(self, fold: bool) -> None:
         self.fold = fold
@@ -96,23 +107,25 @@ class _Parser:
             begin = self.at
             s, e = self.atom()
             stop = self.at
-            mark = self.text[self.at : self.at + 1]
-            if mark and mark in "?*":
-                self.at += 1
-                a, b = self.state(), self.state()
-                self.empty[a] += [s, b]
-                self.empty[e] += [b] + [s] * (mark == "*")
-                s, e = a, b
-            elif mark == "{":
-                close = self.text.index("}", self.at)
-                times = int(self.text[self.at + 1 : close])
-                for _ in range(times - 1):
+            mark = self.text[stop : stop + 1]
+            if mark == "{":
+                close = self.text.index("}", stop)
+                times, more, _ = self.text[stop + 1 : close].partition(",")
+                final = s
+                for _ in range(int(times) - 1):
                     self.at = begin
-                    s2, e2 = self.atom()
-                    self.empty[e].append(s2)
-                    e = e2
-                    assert self.at == stop
+                    final, end = self.atom()
+                    self.empty[e].append(final)
+                    e = end
+                if more:
+                    self.empty[e].append(final)
                 self.at = close + 1
+            elif mark and mark in "?*+":
+                self.at += 1
+                x, y = self.state(), self.state()
+                self.empty[x] += [s] + [y] * (mark != "+")
+                self.empty[e] += [y] + [s] * (mark != "?")
+                s, e = x, y
             self.empty[last].append(s)
             last = e
         return first, last
@@ -126,7 +139,7 @@ class _Parser:
             return out
         chars = self.klass() if c == "[" else {self.char()}
         if self.fold:
-            chars |= {ord(chr(x).swapcase()) for x in chars if chr(x).isalpha()}
+            chars |= {ord(chr(x).swapcase()) for x in chars if x < 128 and chr(x).isalpha()}
         a, b = self.state(), self.state()
         self.edges[a].append((frozenset(chars), b))
         return a, b
@@ -145,6 +158,8 @@ class _Parser:
     def klass(self) -> set[int]:
         self.at += 1
         out: set[int] = set()
+        other = self.text[self.at] == "^"
+        self.at += other
         while self.text[self.at] != "]":
             a = self.char()
             if self.text[self.at] == "-" and self.text[self.at + 1] != "]":
@@ -153,7 +168,7 @@ class _Parser:
             else:
                 out.add(a)
         self.at += 1
-        return out
+        return set(range(256)) - out if other else out
 
 
 @dataclass
@@ -168,30 +183,27 @@ class Automaton:
     width: int
 
 
-def compile_rules(rules: tuple[Rule, ...]) -> Automaton:
-    """Subset construction over byte classes, then minimisation by partition refinement."""
-    edges: list[list[tuple[frozenset[int], int]]] = []
-    empty: list[list[int]] = []
-    starts, accept = [], {}
-    for k, rule in enumerate(rules):
-        p = _Parser(rule.fold)
-        s, e = p.parse(rule.core)
-        shift = len(edges)
-        edges += [[(c, t + shift) for c, t in x] for x in p.edges]
-        empty += [[t + shift for t in x] for x in p.empty]
-        starts.append(s + shift)
-        accept[e + shift] = 1 << k
+Edges = list[list[tuple[frozenset[int], int]]]
+
 
-    reach: list[frozenset[int]] = []
-    for v in range(len(edges)):
+def _reach(empty: list[list[int]]) -> list[frozenset[int]]:
+    """States that each state reaches without a byte, itself included."""
+    out = []
+    for v in range(len(empty)):
         seen, todo = {v}, [v]
         while todo:
             for t in empty[todo.pop()]:
                 if t not in seen:
                     seen.add(t)
                     todo.append(t)
-        reach.append(frozenset(seen))
+        out.append(frozenset(seen))
+    return out
 
+
+def determinised(edges: Edges, empty: list[list[int]], starts: list[int], accept: dict[int, int], search: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Minimal table (state 0 is the start), bits of states, classes of bytes: subset construction over byte classes, then
+    minimisation by partition refinement. search: matches may begin anywhere."""
+    reach = _reach(empty)
     sets = {c for x in edges for c, _ in x}
     signature: dict[tuple[bool, ...], int] = {}
     classes = np.array([signature.setdefault(tuple(b in c for c in sets), len(signature)) for b in range(256)], np.uint8)
@@ -209,8 +221,7 @@ def compile_rules(rules: tuple[Rule, ...]) -> Automaton:
         bits.append(mask)
         row = []
         for k in range(width):
-            # after an accepting state of a rule its bit has been noted; the subset goes on as usual
-            to = set(start)
+            to = set(start) if search else set()
             for v in subset:
                 for t in moves[v][k]:
                     to |= reach[t]
@@ -220,8 +231,7 @@ def compile_rules(rules: tuple[Rule, ...]) -> Automaton:
                 todo.append(key)
             row.append(number[key])
         rows.append(row)
-    table = np.array(rows, np.int64)
-    mask = np.array(bits, np.int64)
+    table, mask = np.array(rows, np.int64), np.array(bits, np.int64)
 
     group = np.unique(mask, return_inverse=True)[1]
     while True:
@@ -235,9 +245,69 @@ def compile_rules(rules: tuple[Rule, ...]) -> Automaton:
     rank = np.argsort(first, kind="stable")
     order[rank] = np.arange(len(rank))  # the start comes first
     keep = first[rank]
-    small = order[group[table[keep]]]
-    reset = np.array([(small[:, classes[b]] == 0).all() for b in range(256)])
-    return Automaton((small * width).astype(np.int32), mask[keep].astype(np.int32), classes, reset, width)
+    return order[group[table[keep]]], mask[keep], classes
+
+
+def compile_rules(rules: tuple[Rule, ...]) -> Automaton:
+    """The cores of all rules as one automaton."""
+    edges: Edges = []
+    empty: list[list[int]] = []
+    starts, accept = [], {}
+    for k, rule in enumerate(rules):
+        p = _Parser(rule.fold)
+        s, e = p.parse(rule.core)
+        shift = len(edges)
+        edges += [[(c, t + shift) for c, t in x] for x in p.edges]
+        empty += [[t + shift for t in x] for x in p.empty]
+        starts.append(s + shift)
+        accept[e + shift] = 1 << k
+    table, bits, classes = determinised(edges, empty, starts, accept, True)
+    reset = np.array([(table[:, classes[b]] == 0).all() for b in range(256)])
+    width = table.shape[1]
+    return Automaton((table * width).astype(np.int32), bits.astype(np.int32), classes, reset, width)
+
+
+class Walker:
+    """An automaton of one expression that is walked from a place: onwards, or backwards over its reversal."""
+
+    def __init__(self, expression: str, fold: bool, backwards: bool) -> None:
+        p = _Parser(fold)
+        s, e = p.parse(expression)
+        edges, empty = p.edges, p.empty
+        if backwards:
+            edges, empty = [[] for _ in edges], [[] for _ in empty]
+            for v, out in enumerate(p.edges):
+                for c, t in out:
+                    edges[t].append((c, v))
+            for v, out in enumerate(p.empty):
+                for t in out:
+                    empty[t].append(v)
+            s, e = e, s
+        table, bits, classes = determinised(edges, empty, [s], {e: 1}, False)
+        dead = [v for v in range(len(table)) if not bits[v] and (table[v] == v).all()]
+        self.next = [[-1 if t in dead else t for t in row] for row in table[:, classes].tolist()]
+        self.final = bits.astype(bool).tolist()
+        self.backwards = backwards
+
+    def reach(self, data: bytes, at: int, limit: int) -> int:
+        """Backwards: the farthest start, not before the limit, of a match whose last byte is at ``at``. Onwards: the farthest end,
+        not beyond the limit, of a match that starts there. -1 if there is none."""
+        table, final, state, found = self.next, self.final, 0, -1
+        if self.backwards:
+            for k in range(at, limit - 1, -1):
+                state = table[state][data[k]]
+                if state < 0:
+                    break
+                if final[state]:
+                    found = k
+        else:
+            for k in range(at, limit):
+                state = table[state][data[k]]
+                if state < 0:
+                    break
+                if final[state]:
+                    found = k + 1
+        return found
 
 
 # --- scanning ----------------------------------------------------------------------------------------------
@@ -295,48 +365,66 @@ def walk(auto: Automaton, data: bytes, piece: int = 2048) -> tuple[np.ndarray, n
     return np.concatenate(found_at), np.concatenate(found)
 
 
-def flagged(auto: Automaton, texts: list[str | None], stream: int = 1 << 22) -> Iterator[tuple[int, int]]:
-    """(index, rule bits) of the texts with anything found; texts are joined into streams of bounded size, with a
-    resetting byte between them."""
+def hits(auto: Automaton, texts: list[bytes], stream: int = 1 << 22) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(index, places of the last bytes of cores in order, their rule bits) of the texts with any; texts are joined into streams of
+    bounded size, with a resetting byte between them."""
     gap = bytes([int(np.flatnonzero(auto.reset)[0])])
     k = 0
     while k < len(texts):
         parts, starts, size = [], [], 0
         first = k
         while k < len(texts) and (size < stream or not parts):
-            data = utf8(texts[k])
             starts.append(size)
-            parts += [data, gap]
-            size += len(data) + 1
+            parts += [texts[k], gap]
+            size += len(texts[k]) + 1
             k += 1
         at, bits = walk(auto, b"".join(parts))
-        if len(at):
-            doc = np.searchsorted(np.array(starts), at, side="right") - 1
-            masks = np.zeros(k - first, np.int64)
-            np.bitwise_or.at(masks, doc, bits)
-            for d in np.flatnonzero(masks).tolist():
-                yield first + d, int(masks[d])
+        if not len(at):
+            continue
+        order = np.argsort(at, kind="stable")
+        at, bits = at[order], bits[order]
+        begin = np.array(starts)
+        doc = np.searchsorted(begin, at, side="right") - 1
+        cuts = np.flatnonzero(np.diff(doc, prepend=-1))
+        for s, e in zip(cuts.tolist(), np.append(cuts[1:], len(doc)).tolist(), strict=True):
+            yield first + int(doc[s]), at[s:e] - begin[doc[s]], bits[s:e]
 
 
 class Scanner:
     def __init__(self, rules: tuple[Rule, ...] = RULES) -> None:
         self.rules = rules
         self.auto = compile_rules(rules)
-        self.exact = [re.compile(r.exact) for r in rules]
+        self.back = [Walker(r.lead or r.core, r.fold, True) for r in rules]
+        self.on = [Walker(r.whole, r.fold, False) for r in rules]
+
+    def _matches(self, k: int, data: bytes, ends: list[int]) -> Iterator[tuple[int, int]]:
+        """Leftmost matches of a rule, apart from each other, as byte places, from where its cores end."""
+        rule, used, i = self.rules[k], 0, 0
+        while i < len(ends):
+            at = ends[i]
+            i += 1
+            start = self.back[k].reach(data, at, used)
+            stop = self.on[k].reach(data, start, len(data)) if start >= 0 else -1
+            if stop < 0:
+                continue
+            good = len(data[at if rule.value else start : stop].decode("utf-8", "replace")) >= rule.least
+            if good:
+                yield start, stop
+            if good or rule.spent:
+                used = stop
+                i = bisect_left(ends, stop, i)
 
     def spans(self, texts: list[str | None]) -> dict[int, list[tuple[int, int, int]]]:
         """By index of text: (start, rule, end) in code points, sorted by start and rule."""
         out: dict[int, list[tuple[int, int, int]]] = {}
-        for k, mask in flagged(self.auto, texts):
-            text = texts[k]
-            found = [
-                (m.start(), r, m.end())
-                for r, rule in enumerate(self.rules)
-                if mask >> r & 1
-                for m in self.exact[r].finditer(text)
-                if m.end(rule.group) - m.start(rule.group) >= rule.least
-            ]
+        raw = [utf8(t) for t in texts]
+        for k, at, bits in hits(self.auto, raw):
+            data = raw[k]
+            found = [(s, r, e) for r in range(len(self.rules)) for s, e in self._matches(r, data, at[(bits >> r & 1) == 1].tolist())]
             if found:
+                if len(data) != len(texts[k]):  # bytes to code points
+                    place = np.concatenate(([0], np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)))
+                    found = [(int(place[s]), r, int(place[e])) for s, r, e in found]
                 out[k] = sorted(found)
         return out
 

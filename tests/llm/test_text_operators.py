@@ -99,18 +99,31 @@ def test_decontaminated_texts_hold_no_window(spark):
 # --- secrets
 
 
-def plain_spans(text, rules=secrets.RULES):
-    return sorted((m.start(), k, m.end()) for k, r in enumerate(rules) for m in re.finditer(r.exact, text) if m.end(r.group) - m.start(r.group) >= r.least)
+#: What the rules mean, written apart from them: kind, expression, group that must be so long at least.
+PLAIN = (
+    ("assign", r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", r"AKIA[A-Z0-9]+", 0, 18),
+    ("hex", r"[0-9a-f]+", 0, 16),
+    ("private", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:[^-]*-----END (?:[A-Z]+ )*PRIVATE KEY-----)?", 0, 0),
+    ("forge", r"gh[opsu]_[A-Za-z0-9]{36,}", 0, 0),
+    ("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
+)
+
+
+def plain_spans(text):
+    return sorted((m.start(), k, m.end()) for k, (_, rx, group, least) in enumerate(PLAIN) for m in re.finditer(rx, text) if m.end(group) - m.start(group) >= least)
 
 
 def test_automaton_finds_what_the_expressions_find():
     rng = random.Random(2)
     parts = ["token", "secret", "password", " ", "=", ":", "'", '"', "a", "f", "0", "9", "AKIA", "Z", "/", "\n", "é", "api_key", "apikey", "ToKeN", "-", "gh", "ghp_", "eyJ", ".", "xoxb-",
-             "aaaaaaaaaaaa", "0123456789abcdef", "ABCDEFGHIJKLMN", "-----BEGIN ", "PRIVATE KEY-----"]
+             "aaaaaaaaaaaa", "0123456789abcdef", "ABCDEFGHIJKLMN", "-----BEGIN ", "RSA ", "PRIVATE KEY-----", "-----END ", "-----BEGIN PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "ghp_ghs_", "a" * 36, "eyJhbGciOi", "eyJ_.eyJaaaaaaaa.bbbbbbbb.", "AKI"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(4000)]
     texts += ["pa\u017f\u017fword = abcdefghijklmnop token = abcdefabcdef12", "api_\u212aey=abcdefghijklmnop"]  # letters that only look like s and k
-    texts += [None, "", "a" * 50_000, "token " * 3000 + "= abcdefabcdef12"]
+    texts += [None, "", "a" * 50_000, "token " * 3000 + "= abcdefabcdef12", "eyJ" * 20_000, "eyJ." * 20_000, "token=" * 9000, "-----BEGIN " * 9000, "\U0001f600é token=abcdefghijklmnop é 0123456789abcdef0"]
     found = secrets.Scanner().spans(texts)
+    assert [r.kind for r in secrets.RULES] == [p[0] for p in PLAIN]
     for k, text in enumerate(texts):
         assert found.get(k, []) == plain_spans(text or "")
     assert [s for s, k, _ in found[4000] if k == 0] == [28] and 4001 not in found
@@ -122,11 +135,26 @@ def test_automaton_is_minimal_and_total():
     assert len(np.unique(np.column_stack([auto.table, auto.bits]), axis=0)) == len(auto.table)
 
 
+def test_walkers_match_as_expressions_do():
+    rng = random.Random(22)
+    expressions = ("a{2,}b?", "(ab|a)*c+", "[^a]{2}a", "(a|bc)+", "a?b{3}", "[a-b]*c")
+    for expression in expressions:
+        on, back = secrets.Walker(expression, False, False), secrets.Walker(expression, False, True)
+        for _ in range(300):
+            text = "".join(rng.choice("abc") for _ in range(rng.randint(0, 9)))
+            data = text.encode()
+            for i in range(len(text)):
+                ends = [e for e in range(i, len(text) + 1) if e > i and re.fullmatch(expression, text[i:e])]
+                assert on.reach(data, i, len(data)) == max(ends, default=-1)
+                starts = [k for k in range(i + 1) if re.fullmatch(expression, text[k : i + 1])]
+                assert back.reach(data, i, 0) == min(starts, default=-1)
+
+
 def test_secret_query(spark, sf_dir):
     texts = texts_of(spark, sf_dir)
     for r in queries.op4_secrets(spark, sf_dir).collect():
         spans = plain_spans(texts[r.doc_id] or "")
-        told = [f"{secrets.RULES[k].kind}:{s}:{e}" for s, k, e in spans]
+        told = [f"{PLAIN[k][0]}:{s}:{e}" for s, k, e in spans]
         assert r.spans == ",".join(told)
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == i for _, k, _ in spans) for i in range(3))
         assert r.base_sha256 == hashlib.sha256(",".join(t for t, (_, k, _) in zip(told, spans, strict=True) if k < 3).encode()).hexdigest()
