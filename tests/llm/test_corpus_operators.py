@@ -299,6 +299,79 @@ def test_passages_with_changed_words_are_found(spark):
     assert found == set(range(60))
 
 
+def template_texts(seed, pairs, ends, own, changes, mixed=False):
+    """Pairs of texts alike at over 80 %, all in words that all texts share: at both ends, or in between."""
+    rng = random.Random(seed)
+    head, tail = [f"h{i}" for i in range(ends)], [f"t{i}" for i in range(ends)]
+    docs = []
+    for i in range(pairs):
+        mine = [f"o{rng.randint(0, 10**8)}" for _ in range(own)]
+        if mixed:
+            words = []
+            for k in range(0, 2 * ends, 14):
+                words += (head + tail)[k : k + 14] + mine[k * own // (2 * ends) :][:9]
+        else:
+            words = head + mine + tail
+        other = list(words)
+        for _ in range(changes):
+            other[rng.randrange(len(other))] = f"x{rng.randint(0, 10**8)}"
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    return docs
+
+
+def test_no_pair_of_a_template_family_is_missed(spark):
+    """Recall against brute force over all pairs: whole texts alike at 0.8 or more, all others at 0.6 or less."""
+    for seed, pairs, ends, own, changes, mixed in ((31, 150, 35, 25, 1, False), (32, 300, 75, 55, 3, False), (33, 150, 49, 63, 2, True), (34, 150, 70, 63, 3, True)):
+        docs = template_texts(seed, pairs, ends, own, changes, mixed)
+        sets = [shingles(t, 5) for _, t in docs]
+        alike = {i for i in range(0, len(docs), 2) if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])}
+        assert max(len(sets[0] & s) / len(sets[0] | s) for s in sets[2:]) < 0.62 and len(alike) > 0.6 * pairs
+        found = {r.doc_id for r in passages.near_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+        missed = {k for i in alike for k in (i, i + 1)} - found
+        assert not missed, (seed, len(missed), len(alike))
+
+
+def test_context_hashes_tell_what_surrounds_a_place():
+    rng = np.random.default_rng(3)
+    grams = rng.integers(0, 1 << 63, 300, np.uint64)
+    grams[200:240] = grams[100:140]
+    context = passages.Context(grams)
+    at, limit = np.array([110, 210, 120, 220, 299, 5]), np.array([300, 300, 300, 300, 300, 300])
+    bits = [sum(b for _, b in passages.CONTEXT[k:]) for k in (1, 2, 3)]
+    after, before = context.after(at, limit), context.before(at, np.zeros(6, np.int64))
+    assert after[0] >> bits[0] == after[1] >> bits[0] and after[0] >> bits[1] != after[1] >> bits[1]  # 29 shingles follow alike
+    assert before[2] >> bits[0] == before[3] >> bits[0] and before[2] != before[3] and before[0] >> bits[0] != before[1] >> bits[0]
+
+
+def test_links_that_meet_through_others_are_one_box():
+    import pandas as pd
+
+    rows = [(1, 2, 0, 60, 0, 60, 0), (1, 2, 90, 160, 90, 160, 1), (1, 2, 10, 150, 10, 150, 2), (1, 2, 400, 460, 400, 460, 3), (1, 3, 0, 60, 0, 60, 0)]
+    got = pd.concat(passages._boxes(iter([pd.DataFrame(rows, columns=["a", "b", "al", "ar", "bl", "br", "f"])]), 46, 2))
+    assert got[["a", "b", "al", "ar", "bl", "br"]].to_numpy().tolist() == [[1, 2, 0, 160, 0, 160]]
+
+
+def test_crowds_are_told_whatever_the_batches():
+    import pandas as pd
+
+    rng = random.Random(35)
+    rows = sorted((rng.randint(0, 12), rng.randint(0, 9), rng.randint(0, 30)) for _ in range(120))
+    rows = [(k, m, d + 100 * m, 0, 60, 0, k, m) for k, m, d in rows]  # a document has one text
+    frame = pd.DataFrame(rows, columns=passages._WINDOW).astype({c: "int32" for c in ("l", "r", "right", "left")} | {"f": "int8"})
+    smallest = {}
+    for k, m, d, *_ in rows:
+        smallest.setdefault((k, m), d)
+    for size in (1, 2, 3, 7, 200):
+        got = pd.concat(passages._met(iter([frame[i : i + size] for i in range(0, len(frame), size)])))
+        crowd = {(int(r.key), int(r.b), int(r.a)) for r in got[got["key"].notna()].itertuples()}
+        assert crowd == {(k, m, d) for (k, m), d in smallest.items() if sum(a == k for a, _ in smallest) > 2}
+        links = {(r.a, r.b) for r in got[got["key"].isna()].itertuples()}
+        for k in range(13):
+            own = [smallest[k, m] for m in range(10) if (k, m) in smallest]
+            for x, y in zip(own, own[1:], strict=False):
+                assert (min(x, y), max(x, y)) in links and (min(own[0], y), max(own[0], y)) in links
+
+
 def test_passages_of_awkward_rows(spark, monkeypatch):
     docs = awkward(spark)
     for sent in (passages.MOST_SENT, 0):
