@@ -6,7 +6,8 @@ longest match that ends there. A match of ``window`` words, or of a whole item t
 words *hit*. Nothing is shuffled: a document is read once in the task that scans it.
 
 The items must fit an automaton in each worker, so they are cut into blocks of at most ``block_words``
-words. One block is broadcast at a time; every document is run against every block. Usually there is one.
+words; every document is run against every block. Usually there is one. All blocks are sent to the executors, packed; a
+worker unpacks one at a time and runs a whole batch of documents against it in one evaluation.
 """
 
 from __future__ import annotations
@@ -85,6 +86,11 @@ class SuffixAutomaton:
     def finish(self) -> SuffixAutomaton:
         """Notes which items hold each window, at the state that the window's own text leads to."""
         self.items: dict[int, set[int]] = {}
+        order = sorted(range(1, len(self.next)), key=self.length.__getitem__)
+        self.cut = list(range(len(self.next)))  # of each state the ancestor that holds its text's last ``window`` words
+        for v in order:
+            if self.length[self.link[v]] >= self.window:
+                self.cut[v] = self.cut[self.link[v]]
         for ids, item in self.long_items:
             if len(ids) < self.window:
                 self.short.setdefault(self._walk(ids), []).append((len(ids), item))
@@ -93,11 +99,11 @@ class SuffixAutomaton:
                 for c in ids:
                     state, size = self._advance(state, size, c)
                     if size >= self.window:
-                        self.items.setdefault(self._cut(state), set()).add(item)
+                        self.items.setdefault(self.cut[state], set()).add(item)
         self.long_items = []
         # whole short items that end wherever a state's text ends, by way of suffix links
         self.ends: list[list[tuple[int, int]]] = [[] for _ in self.next]
-        for v in sorted(range(1, len(self.next)), key=self.length.__getitem__):
+        for v in order:
             own = self.short.get(v, [])
             up = self.ends[self.link[v]]
             self.ends[v] = up + own if own else up
@@ -119,22 +125,20 @@ class SuffixAutomaton:
             state = self.link[state]
             size = self.length[state]
 
-    def _cut(self, state: int) -> int:
-        """The ancestor that holds the suffix of ``window`` words."""
-        while self.length[self.link[state]] >= self.window:
-            state = self.link[state]
-        return state
-
     def scan(self, ids: list[int], offset: int, hits: list[tuple[int, int]], found: set[int]) -> None:
         """Streams word ids; appends [start, stop) of each window or short item met, and notes the items."""
         state = size = 0
-        window, ends, items = self.window, self.ends, self.items
+        met: set[int] = set()  # windows whose items are noted
+        window, ends, items, cut = self.window, self.ends, self.items, self.cut
         for i, c in enumerate(ids, 1):
             state, size = self._advance(state, size, c)
             most = 0
             if size >= window:
                 most = window
-                found |= items.get(self._cut(state), frozenset())
+                noted = cut[state]
+                if noted not in met:
+                    met.add(noted)
+                    found |= items.get(noted, frozenset())
             for n, item in ends[state]:
                 if n <= size:
                     found.add(item)
@@ -196,22 +200,27 @@ def build(block: list[tuple[str, str | None]], window: int) -> tuple[SuffixAutom
     return auto.finish(), names
 
 
-def _hits(shared: Broadcast):
-    """The function of texts that runs one block's automaton."""
+Built = tuple[SuffixAutomaton, list[str | None]]
 
-    @F.pandas_udf(HIT_SCHEMA)
-    def hits(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        auto, names = pickle.loads(shared.value)
-        for batch in texts:
-            rows = []
-            for text in batch:
-                words = alnum_words(text)
-                spans, found = matches(auto, words)
-                own = sorted({names[i] for i in found if names[i] is not None})
-                rows.append((len(words), sum(e - s for s, e in spans), own, [{"start": s, "stop": e} for s, e in spans]))
-            yield pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"])
 
-    return hits
+class Blocks:
+    """The blocks' automata for a worker. A single one stays unpacked; of several one is, at a time."""
+
+    def __init__(self, shared: list[Broadcast]) -> None:
+        self.shared = shared
+        self.only: Built | None = pickle.loads(shared[0].value) if len(shared) == 1 else None
+
+    def __iter__(self) -> Iterator[Built]:
+        if self.only is not None:
+            yield self.only
+            return
+        for b in self.shared:
+            yield pickle.loads(b.value)
+
+
+def _sent(items: DataFrame, window: int, block_words: int) -> list[Broadcast]:
+    context = items.sparkSession.sparkContext
+    return [context.broadcast(pickle.dumps(build(b, window), protocol=5)) for b in item_blocks(items, block_words)]
 
 
 def contamination(
@@ -224,30 +233,27 @@ def contamination(
     occurs nowhere; items with equal texts are all named; a null item_id is left out of the names but its
     words hit. Rows are kept as they are, repeated ones too. Other columns pass through, whatever their names.
     """
-    spark = docs.sparkSession
-    out = free(out, docs.columns)
-    parts = []
-    result = docs
-    for k, block in enumerate(item_blocks(items, block_words)):
-        shared = spark.sparkContext.broadcast(pickle.dumps(build(block, window), protocol=5))
-
-        part = free(f"hit_{k}", [*result.columns, out])
-        result = result.withColumn(part, _hits(shared)(F.col("text").cast("string")))
-        parts.append(part)
-    if len(parts) == 1:
-        return result.withColumnRenamed(parts[0], out)
-
-    # several blocks: the union of their spans and items
+    shared = _sent(items, window, block_words)
+
     @F.pandas_udf(HIT_SCHEMA)
-    def union(*hits: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for k in range(len(hits[0])):
-            spans = _merged([(s["start"], s["stop"]) for h in hits for s in h["spans"].iloc[k]])
-            own = sorted({i for h in hits for i in h["items"].iloc[k]})
-            rows.append((int(hits[0]["n_words"].iloc[k]), sum(e - s for s, e in spans), own, [{"start": s, "stop": e} for s, e in spans]))
-        return pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"])
+    def hits(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        blocks = Blocks(shared)
+        for batch in texts:
+            words = [alnum_words(t) for t in batch]
+            spans: list[list[tuple[int, int]]] = [[] for _ in words]
+            named: list[set[str]] = [set() for _ in words]
+            for auto, names in blocks:
+                for k, own in enumerate(words):
+                    at, found = matches(auto, own)
+                    spans[k] += at
+                    named[k].update(names[i] for i in found if names[i] is not None)
+            rows = []
+            for k, own in enumerate(words):
+                at = _merged(spans[k])
+                rows.append((len(own), sum(e - s for s, e in at), sorted(named[k]), [{"start": s, "stop": e} for s, e in at]))
+            yield pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"])
 
-    return result.withColumn(out, union(*parts)).drop(*parts)
+    return docs.withColumn(free(out, docs.columns), hits.asNondeterministic()(F.col("text").cast("string")))  # so that it runs once for all its fields
 
 
 def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
@@ -281,11 +287,11 @@ def decontaminate(
     Texts without hits, null and empty ones included, stay byte for byte. All columns stay.
     """
     names = docs.columns
-    spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast(pickle.dumps(build(b, window), protocol=5)) for b in item_blocks(items, block_words)]
+    shared = _sent(items, window, block_words)
 
     @F.pandas_udf("struct<text:string,gone:boolean>")
     def clean(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        blocks = Blocks(shared)
         for batch in texts:
             rows = list(batch)
             gone = [False] * len(rows)
@@ -294,8 +300,7 @@ def decontaminate(
             first = True
             while left:
                 hit: dict[int, list[tuple[int, int]]] = {}
-                for b in blocks:
-                    auto = pickle.loads(b.value)[0]
+                for auto, _ in blocks:
                     for k in left:
                         words = alnum_words(rows[k])
                         total[k] = len(words) if first else total[k]
