@@ -88,7 +88,7 @@ def text_stats(text: Column) -> Column:
             yield pd.DataFrame([stats(t, words_of) for t in batch], columns=names, dtype=np.int64)
             relax()
 
-    return run(text.cast("string"))
+    return run.asNondeterministic()(text.cast("string"))  # so that it runs once, below no join and not again for a filter
 
 
 def base_failed(s: str) -> Column:
@@ -134,8 +134,9 @@ def calibrate(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang", risk
     stratum is a stratum. Only histograms are shuffled; a stratum's are a few hundred numbers.
     """
     told = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max(F.col("quality").cast("int")).alias("good"))
-    seen = docs.select("doc_id", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), text_stats(F.col("text")).alias("s"))
-    rows = seen.join(told, "doc_id").filter(~base_failed("s"))
+    # labels come first: only labelled texts are looked at, once
+    own = docs.select("doc_id", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), "text").join(told, "doc_id")
+    rows = own.select("stratum", "good", text_stats(F.col("text")).alias("s")).filter(~base_failed("s"))
     bins = F.explode(F.array(*[
         F.struct(F.lit(r).alias("rule"), F.least(F.lit(STEPS), F.floor(_ratio("s", r) * STEPS).cast("int")).alias("bin")) for r in RULES
     ]))
