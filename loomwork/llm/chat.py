@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import free
@@ -64,13 +64,19 @@ def unescape(text: str) -> str:
     return _RAW.sub(lambda m: f"{m[1] or m[4]}{(m[2] or m[5] or '')[1:]}{m[3] or m[6]}", text)
 
 
-def field_paths(value: object, at: str = "") -> set[str]:
-    """Nested paths of the leaves; a null or empty leaf counts as present."""
-    if isinstance(value, dict) and value:
-        return set().union(*(field_paths(v, f"{at}.{k}" if at else str(k)) for k, v in value.items()))
-    if isinstance(value, list) and value:
-        return set().union(*(field_paths(v, f"{at}[]") for v in value))
-    return {at}
+def field_paths(value: object) -> set[str]:
+    """Nested paths of the leaves; a null or empty leaf counts as present. Depth doesn't matter."""
+    out: set[str] = set()
+    todo = [(value, "")]
+    while todo:
+        value, at = todo.pop()
+        if isinstance(value, dict) and value:
+            todo += [(v, f"{at}.{k}" if at else str(k)) for k, v in value.items()]
+        elif isinstance(value, list) and value:
+            todo += [(v, f"{at}[]") for v in value]
+        else:
+            out.add(at)
+    return out
 
 
 def fingerprint(paths: set[str]) -> str:
@@ -81,12 +87,24 @@ def _text(value: object) -> str:
     return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False, sort_keys=True)
 
 
+def _place(value: object) -> tuple:
+    """Order of turn numbers, whatever they are: none, numbers by size, then all else as text."""
+    if value is None:
+        return (0, 0, "")
+    if isinstance(value, (int, float)):
+        return (1, value, "")
+    try:
+        return (1, float(value), "") if isinstance(value, str) else (2, 0, _text(value))
+    except ValueError:
+        return (2, 0, value)
+
+
 def _turns(record: dict, mapping: Mapping) -> list[Turn]:
     if mapping.rows:
         name, role, text, order = mapping.rows
-        rows = [r for r in record[name] if isinstance(r, dict)]
+        rows = [r for r in record.get(name) or () if isinstance(r, dict)]
         if order:
-            rows = sorted(rows, key=lambda r: (r.get(order) is not None, r.get(order) or 0, _text(r.get(role)), _text(r.get(text))))
+            rows = sorted(rows, key=lambda r: (_place(r.get(order)), _text(r.get(role)), _text(r.get(text))))
         names = ROLES if mapping.rename else {}
         return [(names.get(_text(r.get(role)), _text(r.get(role))), _text(r.get(text))) for r in rows]
     out = []
@@ -140,8 +158,11 @@ CHAT = "fingerprint string, layout string, formatted string, mask array<struct<s
 
 def _parsed(text: str | None) -> object:
     try:
-        return json.loads(text) if text is not None else None
-    except ValueError:
+        value = json.loads(text) if text is not None else None
+        if text is not None and "\\ud" in text.lower():  # halves of characters can't leave this process
+            value = json.loads(json.dumps(value, ensure_ascii=False).encode("utf-8", "replace"))
+        return value
+    except (ValueError, RecursionError):  # no JSON, or nested beyond what can be read
         return None
 
 
@@ -149,8 +170,8 @@ def chat_format(records: DataFrame, *, record: str = "record", mappings: tuple[M
     """records with a column ``out``: struct of fingerprint, layout, formatted text and loss mask (code points).
 
     record: JSON of one conversation, in any declared layout; further fields don't matter. A null, a text that isn't
-    a JSON object and an undeclared layout get a null layout and a null text, so that they can be found.
-    Null texts and roles are empty. All rows and columns stay.
+    a JSON object (or is nested some hundreds deep) and an undeclared layout get a null layout and a null text, so that they can
+    be found. Turn numbers may be numbers in one row and text in another. Null texts and roles are empty. All rows and columns stay.
     """
 
     @F.pandas_udf(CHAT)
@@ -159,7 +180,10 @@ def chat_format(records: DataFrame, *, record: str = "record", mappings: tuple[M
         for batch in batches:
             rows = []
             for text in batch:
-                mark, name, turns = layouts.turns(_parsed(text))
+                try:
+                    mark, name, turns = layouts.turns(_parsed(text))
+                except RecursionError:
+                    mark, name, turns = fingerprint(set()), None, None
                 formatted, mask = render(turns) if turns is not None else (None, [])
                 rows.append((mark, name, formatted, [{"start": s, "stop": e} for s, e in mask]))
             yield pd.DataFrame(rows, columns=["fingerprint", "layout", "formatted", "mask"])
@@ -190,6 +214,28 @@ def chat_read(chats: DataFrame, *, chat: str = "chat", turn_digest: Callable[[li
 def from_turn_rows(rows: DataFrame) -> DataFrame:
     """Rows of (conv_id, turn, role, text) to one JSON record per conversation: columns conv_id, record. Turns with equal
     numbers are ordered by role and text; null conv_ids form one conversation. A conversation is one output
-    text, so its turns meet in one task; nothing else does."""
+    text, so its turns meet in one task; nothing else does.
+
+    Records are written in the layout that their turns fit: a question with its answer as prompt and response, with a system's
+    text before them as prompt and completion, strict turns of user and assistant as messages, all else as numbered turns.
+    """
     turn = F.struct(F.col("turn"), F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return rows.groupBy("conv_id").agg(F.to_json(F.struct(F.sort_array(F.collect_list(turn)).alias("turns")), {"ignoreNullFields": "false"}).alias("record"))
+    packed = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    roles, texts = F.col("turns.role"), F.col("turns.text")
+    full = ~F.exists(texts, lambda t: t == "")
+
+    def record(**fields: Column) -> Column:
+        return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]), {"ignoreNullFields": "false"})
+
+    def are(*names: str) -> Column:
+        return (roles == F.array(*map(F.lit, names))) & full
+
+    messages = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content")))
+    strict = (F.size("turns") > 0) & F.forall(F.arrays_zip(roles.alias("role"), F.sequence(F.lit(0), F.size("turns") - 1).alias("k")), lambda x: x["role"] == F.when(x["k"] % 2 == 0, "user").otherwise("assistant"))
+    made = (
+        F.when(are("user", "assistant"), record(prompt=F.get(texts, F.lit(0)), response=F.get(texts, F.lit(1))))
+        .when(are("system", "user", "assistant"), record(system=F.get(texts, F.lit(0)), prompt=F.get(texts, F.lit(1)), completion=F.get(texts, F.lit(2))))
+        .when(strict, record(messages=messages))
+        .otherwise(record(turns=F.col("turns")))
+    )
+    return packed.select("conv_id", made.alias("record"))
