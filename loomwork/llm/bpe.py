@@ -259,7 +259,8 @@ class Lexicon:
 
 
 class Encoder:
-    """Texts to ids (little-endian unsigned 32-bit). Words met lately are remembered, within a bound."""
+    """Texts to ids (little-endian unsigned 32-bit). The lexicon answers for its words, every time; of the words that it lacks,
+    those met lately are remembered, within a bound."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon, remember: int = 60_000) -> None:
         self.remember = remember
@@ -270,24 +271,29 @@ class Encoder:
         top = max(vocabulary.piece)
         self.pieces = [vocabulary.piece.get(i, b"") for i in range(top + 1)]
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > self.remember:
+    def ids_of(self, words: set[str]) -> dict[str, bytes]:
+        """Packed ids of different words."""
+        some = list(words)
+        raw = [w.encode("utf-8", "replace") for w in some]
+        number = self.lexicon.look_up(raw)
+        out = {some[k]: self.lexicon.bytes_of(n) for k, n in enumerate(number.tolist()) if n >= 0}
+        rest = np.flatnonzero(number < 0).tolist()
+        if len(self.known) + len(rest) > self.remember:
             self.known.clear()
-        new = [w for w in words if w not in self.known]
-        raw = [w.encode("utf-8", "replace") for w in new]
-        short: list[int] = []
-        for k, number in enumerate(self.lexicon.look_up(raw).tolist()):
-            if number >= 0:
-                self.known[new[k]] = self.lexicon.bytes_of(number)
-            elif len(raw[k]) <= 64:
-                short.append(k)
-            else:
-                self.known[new[k]] = np.array(self.vocabulary.merged(raw[k]), "<u4").tobytes()
+        known = self.known
+        new = [k for k in rest if some[k] not in known]
+        short = [k for k in new if len(raw[k]) <= 64]
         for k, ids in zip(short, self.pairs.merge([raw[k] for k in short]) if short else (), strict=True):
-            self.known[new[k]] = ids.astype("<u4").tobytes()
+            known[some[k]] = ids.astype("<u4").tobytes()
+        for k in new:
+            if len(raw[k]) > 64:
+                known[some[k]] = np.array(self.vocabulary.merged(raw[k]), "<u4").tobytes()
+        for k in rest:
+            out[some[k]] = known[some[k]]
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        some = 8 * self.remember  # characters at a time: about as many words as are remembered
+        some = 1 << 20  # characters at a time
         out: list[bytes] = []
         k = 0
         split, find = self.vocabulary.split_added, self.vocabulary.words.findall
@@ -308,8 +314,7 @@ class Encoder:
                 rows.append(parts)
                 size += len(text)
                 k += 1
-            self.learn(words)
-            get = self.known.__getitem__
+            get = self.ids_of(words).__getitem__
             out += [b"".join([p if isinstance(p, bytes) else b"".join(map(get, p)) for p in parts]) for parts in rows]
         return out
 
@@ -331,29 +336,38 @@ def worker_encoder(vocabulary: bytes, lexicon: bytes, remember: int) -> Encoder:
     return _encoders[key]
 
 
+#: Buckets of a count per doubling of it.
+BUCKETS = 16
+
+
 def frequent_words(docs: DataFrame, most: int) -> list[str]:
-    """The most frequent words between spaces over all texts; counts are added up map-side first."""
+    """The most frequent words between spaces over all texts, ``most`` of them or a few less: all those whose counts lie in the
+    highest buckets, as many buckets as fit. Counts are added up map-side first; a histogram of the buckets tells the least
+    count, so no task meets more than the words that are taken. Words seen once are left out."""
     words = docs.select(F.explode(F.split(F.col("text").cast("string"), r"[\s\p{Punct}]+")).alias("w")).filter("w <> ''")
-    # stored, so that the tasks' candidates meet in one task and not on the driver
-    top = stored(words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(most))
-    return [x.w for x in top.collect()]
+    bucket = F.floor(F.log2("count") * BUCKETS).cast("int")
+    counts = stored(words.groupBy("w").count().filter("count > 1").select("w", bucket.alias("bucket")))
+    least, taken = None, 0
+    for row in sorted(counts.groupBy("bucket").agg(F.count("*").alias("n")).collect(), key=lambda r: -r.bucket):  # some hundreds at most
+        taken += row.n
+        if taken > most:
+            break
+        least = row.bucket
+    return [] if least is None else [x.w for x in counts.filter(F.col("bucket") >= least).select("w").collect()]
 
 
 def lexicon_of(vocabulary: Vocabulary, words: list[str]) -> bytes:
-    own: dict[bytes, list[int]] = {}
-    for w in words:
-        for form in (w, f" {w}"):
-            for part in vocabulary.words.findall(form):
-                data = part.encode("utf-8", "replace")
-                if data not in own:
-                    own[data] = vocabulary.merged(data)
-    return compile_lexicon(own)
+    """The lexicon of the words as they stand alone and behind a space."""
+    parts = {part.encode("utf-8", "replace") for w in words for form in (w, f" {w}") for part in vocabulary.words.findall(form)}
+    order = sorted(p for p in parts if len(p) <= 64)
+    merged = PairTable(vocabulary).merge(order) if order else []
+    return compile_lexicon({w: ids.tolist() for w, ids in zip(order, merged, strict=True)})
 
 
-def encode(docs: DataFrame, tokenizer: str, *, lexicon_words: int = 10_000, decoded: bool = False, remember: int = 60_000, out: str = "bpe") -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, *, lexicon_words: int = 20_000, decoded: bool = False, remember: int = 60_000, out: str = "bpe") -> DataFrame:
     """docs with a column ``out``: struct of ids (packed little-endian unsigned 32-bit integers) and, if asked for, the
-    text decoded from them (else null). tokenizer: path of the vocabulary file on the driver. remember: words whose ids a
-    worker keeps; more of them cost memory and save merges.
+    text decoded from them (else null). tokenizer: path of the vocabulary file on the driver. remember: words beyond the
+    lexicon whose ids a worker keeps; more of them cost memory and save merges.
 
     Added tokens written in a text are encoded as such, as the tokenizers library does. A null text is encoded
     like an empty one, without ids. All rows and columns stay. The vocabulary and the lexicon, whose sizes don't

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import random
 import re
+import time
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -81,6 +84,35 @@ def test_contamination_in_blocks_and_awkward_rows(spark):
     assert decontaminate.contamination(docs, items.limit(0)).filter("contamination.n_hit > 0").count() == 0
 
 
+def test_items_of_one_word_cost_no_walk():
+    def seconds(n):
+        auto, _ = decontaminate.build([("1", "w " * n)], 10)
+        words = decontaminate.alnum_words("w " * 20_000)
+        began = time.perf_counter()
+        spans, found = decontaminate.matches(auto, words)
+        assert spans == [(0, 20_000)] and found == {0}
+        return time.perf_counter() - began
+
+    assert seconds(8000) < 6 * max(seconds(500), 0.05)
+
+
+def test_decontamination_of_awkward_rows(spark):
+    docs = awkward(spark, [(40, " ".join(f"p{i}" for i in range(12)) + " but " + " ".join(f"own{i}" for i in range(60)))])
+    items = spark.createDataFrame([(1, " ".join(f"p{i}" for i in range(30))), (2, None), (3, "")], "item_id long, text string")
+    rows = sorted((r.doc_id or 0, r.text or "") for r in decontaminate.decontaminate(docs, items).collect())
+    want = []
+    for r in docs.collect():
+        n, hit, _ = plain_hits([("1", " ".join(f"p{i}" for i in range(30)))], r.text, 10)
+        if hit <= 0.5 * n:
+            want.append((r.doc_id or 0, " ".join(WORD.findall(lower(r.text))) if hit else r.text or ""))
+    assert len(rows) == len(want) and {i for i, _ in rows} == {i for i, _ in want}
+    assert next(t for i, t in rows if i == 40) == "but " + " ".join(f"own{i}" for i in range(60))
+    for block_words in (1, 500_000):
+        out = decontaminate.decontaminate(docs, items, block_words=block_words)
+        assert out.columns == docs.columns and sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == rows
+    assert decontaminate.decontaminate(docs.limit(0), items).count() == 0
+
+
 def test_decontaminated_texts_hold_no_window(spark):
     passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     items = spark.createDataFrame([(1, passage)], "item_id long, text string")
@@ -197,6 +229,81 @@ def test_quality_query(spark, sf_dir):
         assert not (r.base_failed and r.kept)
 
 
+def test_long_texts_are_counted_alike(monkeypatch):
+    from loomwork.llm.common import WordHash
+
+    rng = random.Random(36)
+    for n in (3, 4, 50, 700):
+        for _ in range(20):
+            text = " ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(n))
+            monkeypatch.setattr(quality, "LONG", 50_000)
+            short = quality.stats(text, WordHash())
+            monkeypatch.setattr(quality, "LONG", 2)
+            assert quality.stats(text, WordHash()) == short and short[4] == plain_stats(text)[4]
+
+
+def plain_cutoffs(rows, strata, rules, shares, risk, level):
+    """Cutoffs by stratum and rule from (stratum, good, ratios), by fractions and sums of exact binomial terms."""
+    out = {}
+    for s in strata:
+        for rule in rules:
+            own = [(min(50, math.floor(r[rule] * 50)), g) for t, g, r in rows if t == s]
+            good, bad = sum(g for _, g in own), sum(not g for _, g in own)
+            best, cut = 0.0, None
+            for i in range(50, 0, -1):
+                lost = sum(1 for b, g in own if b >= i and g)
+                caught = sum(1 for b, g in own if b >= i and not g)
+                p = Fraction(risk).limit_denominator(10**6) * Fraction(shares[rule]).limit_denominator(100)
+                tail = sum(math.comb(good, k) * p**k * (1 - p) ** (good - k) for k in range(lost + 1)) if good else 1
+                if not good or lost >= good * p or tail > Fraction(level).limit_denominator(100) / (len(strata) * len(rules)):
+                    break
+                gain = caught / max(1, bad) - lost / max(1, good)
+                if gain > best + 1e-12:
+                    best, cut = gain, i / 50
+            out[s, rule] = cut
+    return out
+
+
+def test_verdicts_equal_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text").collect()
+    told = {}
+    for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect():
+        told[r.doc_id] = max(told.get(r.doc_id, 0), r.quality)
+    # more labels than the table has, so that some cutoffs are certified
+    many = spark.createDataFrame([(100_000 + k, d.lang, d.text) for k, d in enumerate(docs * 6)], "doc_id long, lang string, text string")
+    labels = [(100_000 + k, int(told.get(d.doc_id, k % 3 > 0))) for k, d in enumerate(docs * 6)]
+    all_rows = []
+    seen = {}
+    for k, d in enumerate(docs * 6):
+        if d.doc_id not in seen:
+            n, chars, symbols, dup, again = plain_stats(d.text)
+            if again is None:  # a long text
+                again = quality.stats(d.text, quality.WordHash())[4]
+            lines = sum(1 for x in (d.text or "").split("\n") if space_words(x))
+            upper = len(re.findall("[A-Z]", d.text or ""))
+            ratios = {"symbols": symbols / n if n else 0.0, "repeats": again / n if n else 0.0, "dup_lines": dup / lines if lines else 0.0, "upper": upper / chars if chars else 0.0}
+            seen[d.doc_id] = (n < 50 or 100 * again > 50 * n, ratios)
+        all_rows.append((d.lang, labels[k][1], *seen[d.doc_id]))
+    strata = sorted({d.lang for d in docs})
+    cut = plain_cutoffs([(s, g, r) for s, g, failed, r in all_rows if not failed], strata, list(quality.RULES), quality.SHARES, 0.05, 0.05)
+    assert any(v is not None for v in cut.values())
+    cutoffs = quality.calibrate(many, spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert {(r.stratum, rule): r[rule] for r in cutoffs.collect() for rule in quality.RULES} == {k: v for k, v in cut.items() if any(s == k[0] and not f for s, _, f, _ in all_rows)}
+    kept = {r.doc_id: r.quality.kept for r in quality.judge(many, cutoffs).select("doc_id", "quality").collect()}
+    for k, (s, _, failed, ratios) in enumerate(all_rows):
+        want = not failed and all(cut[s, r] is None or ratios[r] <= cut[s, r] for r in quality.RULES)
+        assert kept[100_000 + k] == want
+
+
+def test_strata_are_joined_alike(spark, monkeypatch):
+    docs = awkward(spark)
+    cutoffs = spark.createDataFrame([("en", 0.1, 0.1, None, 0.5), ("", 0.02, None, None, None)], "stratum string, symbols double, repeats double, dup_lines double, upper double")
+    order = lambda rows: sorted(rows, key=repr)
+    one = order(quality.judge(docs, cutoffs).collect())
+    monkeypatch.setattr(quality, "MOST_STRATA", 0)
+    assert order(quality.judge(docs, cutoffs).collect()) == one
+
+
 def test_exact_binomial_bound():
     assert quality.refuted(0, 300, 0.01, 0.05) and not quality.refuted(0, 298, 0.01, 0.05)
     assert not quality.refuted(5, 100, 0.01, 0.05) and not quality.refuted(0, 0, 0.01, 0.05)
@@ -239,7 +346,27 @@ def encoder(tmp_path_factory):
         vocabulary = bpe.Vocabulary(f.read())
     path = tmp_path_factory.mktemp("bpe") / "lexicon"
     path.write_bytes(bpe.lexicon_of(vocabulary, ["the", "thing", "things", "think", "running", "jumping"]))
-    return bpe.Encoder(vocabulary, bpe.Lexicon(str(path)))
+    return bpe.Encoder(vocabulary, bpe.Lexicon(str(path)), remember=50)
+
+
+def test_the_lexicon_answers_for_its_words(encoder):
+    encoder.encode(["the thing runs, the things think"])
+    assert set(encoder.known) == {" runs", ","} or not set(encoder.known) & {"the", " thing", " the", " things", " think"}
+
+
+def test_frequent_words_fit_and_are_the_most_frequent(spark):
+    texts = [(" ".join(f"w{k}" for k in range(100) if i % (k + 1) == 0),) for i in range(200)]
+    count = {}
+    for (t,) in texts:
+        for w in t.split():
+            count[w] = count.get(w, 0) + 1
+    docs = spark.createDataFrame([*texts, (None,), ("",)], "text string")
+    for most in (0, 5, 17, 1000):
+        found = bpe.frequent_words(docs, most)
+        assert len(found) <= most and len(set(found)) == len(found)
+        rest = [n for w, n in count.items() if w not in found]
+        assert not found or min(count[w] for w in found) >= max([n for n in rest if n > 1], default=0)
+    assert len(bpe.frequent_words(docs, 1000)) == sum(n > 1 for n in count.values())
 
 
 def test_ids_equal_the_library(encoder):
@@ -326,6 +453,27 @@ def test_layouts_by_fingerprint():
     assert layouts.turns({"other": 1})[1:] == (None, None) == layouts.turns(None)[1:]
 
 
+def test_deep_and_mixed_records_kill_nothing(spark):
+    deep = '{"messages": [{"role": "user", "content": ' + "[" * 5000 + "]" * 5000 + "}]}"
+    mixed = json.dumps({"turns": [{"turn": "2", "role": "user", "text": "c"}, {"turn": 1, "role": "user", "text": "b"}, {"turn": None, "role": "user", "text": "a"}, {"turn": "x", "role": "user", "text": "d"}, {"turn": [1], "role": "user", "text": "e"}]})
+    rows = [(1, deep), (2, mixed), (3, '{"prompt": "\\ud800 x", "completion": "\\ud83d\\ude00"}'), (4, '{"messages[]": {"role": 1, "content": 2}}'), (5, "[" * 100_000)]
+    got = {r.id: r.read for r in chat.chat_read(chat.chat_format(spark.createDataFrame(rows, "id long, record string"))).collect()}
+    assert got[1] is None or got[1].turns is None
+    assert sorted(t.text for t in got[2].turns) == ["a", "b", "c", "d", "e"] and [t.text for t in got[2].turns][:4] == ["a", "b", "c", "d"] or [t.text for t in got[2].turns][:3] == ["a", "b", "c"]
+    assert [t.text for t in got[3].turns] == ["? x", "\U0001f600"]
+
+
+def test_the_query_meets_several_layouts(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    found = {r.layout for r in chat.chat_format(chat.from_turn_rows(rows)).select("chat.layout").distinct().collect()}
+    assert len(found) >= 2 and None not in found
+    odd = [(1, 0, "user", "a"), (1, 1, "assistant", ""), (2, 0, "user", "a"), (2, 1, "assistant", "b"), (3, 0, "system", "s"), (3, 1, "user", "a"), (3, 2, "assistant", "b"), (4, 0, "user", "a"), (5, 0, "assistant", "a"), (6, 0, "user", ""), (6, 1, "assistant", "x"), (6, 2, "user", "y")]
+    frame = spark.createDataFrame(odd, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: (r.chat.layout, [tuple(t) for t in r.read.turns]) for r in chat.chat_read(chat.chat_format(chat.from_turn_rows(frame))).collect()}
+    assert {k: v[0] for k, v in got.items()} == {1: "messages", 2: "prompt_response", 3: "prompt_completion", 4: "messages", 5: "turn_rows", 6: "messages"}
+    assert all(turns == [(role, text) for c, _, role, text in odd if c == k] for k, (_, turns) in got.items())
+
+
 def test_chat_query(spark, sf_dir):
     own = {}
     for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").collect():
