@@ -150,6 +150,46 @@ def test_groups_over_a_block_lose_no_link(spark, monkeypatch):
         assert got == where
 
 
+def test_loosely_similar_texts_are_told_apart_before_texts_move(spark, monkeypatch):
+    """A chain of texts that each share words with the next: one coarse group, no fine one."""
+    rng = random.Random(37)
+    word = [f"c{rng.randint(0, 10**9)}" for _ in range(40 * 400 + 200)]
+    docs = [(i, " ".join(word[40 * i : 40 * i + 100])) for i in range(200)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    asked = []
+    plain = neardup.fine_groups
+
+    def noted(members, *more):
+        asked.append((members.count(), (out := plain(members, *more)).count()))
+        return out
+
+    monkeypatch.setattr(neardup, "fine_groups", noted)
+    monkeypatch.setattr(neardup, "SIGNATURES", 64)
+    assert all(r.component_id == r.doc_id for r in neardup.near_duplicates(frame).collect())
+    assert asked[0][0] > 150 and asked[0][1] == 0
+
+
+def test_open_texts_meet_all_of_their_group(spark, monkeypatch):
+    """Texts that are like others of a group but not like its smallest: a chain of near copies."""
+    rng = random.Random(38)
+    words = [f"k{rng.randint(0, 10**9)}" for _ in range(200)]
+    docs = []
+    for i in range(60):
+        docs.append((i, " ".join(words)))
+        words = list(words)
+        for k in rng.sample(range(200), 2):
+            words[k] = f"k{rng.randint(0, 10**9)}"
+    where, _ = linked(docs, 5, 80)
+    assert len(set(where.values())) == 1
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for block, size, sent in ((5, 7, 10**6), (5, 7, 0)):
+        monkeypatch.setattr(neardup, "SIGNATURES", size)
+        monkeypatch.setattr(neardup, "MOST_SENT", sent)
+        kept = neardup.keep_one if sent == 0 else neardup.near_duplicates
+        rows = kept(frame.union(frame.limit(1)), block=block).collect()
+        assert [r.doc_id for r in rows] == [0] if sent == 0 else {r.doc_id: r.component_id for r in rows} == where
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     docs = awkward(spark)
     rows = neardup.near_duplicates(docs).collect()
