@@ -98,6 +98,25 @@ def nearest_on_grid(points: DataFrame, places: DataFrame, key: str, place: str)
     return met.groupBy(key).agg(F.min(F.struct("km", place)).alias("x")).select(key, f"x.{place}", "x.km")
 
 
+def space_cell(lat: Column, lon: Column, km: float) -> Column:
+    """Cell of a cubic grid in space, ``km`` wide, that a point of the sphere lies in: points within ``km`` are in neighbouring cells,
+    at any latitude."""
+    a, o = F.radians(lat), F.radians(lon)
+    x, y, z = F.cos(a) * F.cos(o), F.cos(a) * F.sin(o), F.sin(a)
+    return F.struct(*[F.floor(v * F.lit(6371.0 / km)).alias(n) for v, n in ((x, "cx"), (y, "cy"), (z, "cz"))])
+
+
+def nearest_within(points: DataFrame, places: DataFrame, key: str, place: str, same: Sequence[str], most_km: float) -> DataFrame:
+    """For each point (key, same, lat, lon) the nearest place (place, same, lat, lon) with equal ``same`` within ``most_km``, with ``km``;
+    the smaller place of two as near, never the point's own key. A join on cells, so that a name that many share is no one key."""
+    around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k")) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]))
+    near = points.select(key, *same, "lat", "lon", space_cell(F.col("lat"), F.col("lon"), most_km).alias("c"), around.alias("d"))
+    near = near.select(key, *same, "lat", "lon", *[(F.col(f"c.{c}") + F.col(f"d.{d}")).alias(c) for c, d in (("cx", "i"), ("cy", "j"), ("cz", "k"))])
+    there = places.select(place, *same, F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), space_cell(F.col("lat"), F.col("lon"), most_km).alias("c")).select("*", "c.*").drop("c")
+    met = near.join(there, [*same, "cx", "cy", "cz"]).filter(F.col(key) != F.col(place)).withColumn("km", haversine_km(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")))
+    return met.filter(F.col("km") <= most_km).groupBy(key).agg(F.min(F.struct("km", place)).alias("x")).select(key, f"x.{place}", "x.km")
+
+
 def nearest_namesake(points: DataFrame, places: DataFrame, key: str, name: str, most_km: float) -> DataFrame:
     """For each point (key, name, lat, lon; lat null: no anchor) the place of that name. With an anchor the nearest one
     within ``most_km``; without one only if the name is unique."""

@@ -34,3 +34,14 @@ def ship(spark: SparkSession) -> None:
     Path(path).write_bytes(data.getvalue())
     context.addPyFile(path)
     _shipped.add((context.applicationId, mark))
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder's path where all executors can read and write: below ``spark.checkpoint.dir``. Only where that is unset, as on one
+    machine, below a temporary folder."""
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if base is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is unset: a cluster needs a shared folder")
+    return f"{base or tempfile.mkdtemp(prefix='loomwork-')}/loomwork-{uuid.uuid4().hex}"
