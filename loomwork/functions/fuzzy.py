@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from loomwork.session import ship
+
 
 def osa(a: str, b: str, limit: int) -> int:
     """Distance of two texts by insertions, deletions, changes and swaps of neighbours, no stretch edited twice; limit + 1 if
@@ -34,6 +36,7 @@ def allowed(key: Column) -> Column:
 
 def osa_distance(a: Column, b: Column, limit: Column) -> Column:
     """Column of distances; null if either text is."""
+    ship(SparkSession.active())
 
     @F.pandas_udf("int")
     def run(x: pd.Series, y: pd.Series, most: pd.Series) -> pd.Series:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loomwork.functions.scalars import day, head_lines, moment, point
 from loomwork.operators.relational import complete_name_list, parallel_arrays
 from loomwork.plans.rules import extract
+from loomwork.session import ship
 
 from . import address, coords, heights, number, owner, sections
 
@@ -53,6 +54,7 @@ def extracted(text: Column) -> Column:
 
 def records(texts: DataFrame) -> DataFrame:
     """Records of (sourceFileName, text): the JSON fields, ``missingFields`` null when complete, and ``failure``."""
+    ship(texts.sparkSession)
     head = head_lines(F.col("text"))
     joined = F.array_join(head, " ")
     rows = texts.select(

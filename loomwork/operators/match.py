@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.functions.fuzzy import osa
+from loomwork.session import ship
 
 # Words that tell a segment's kind, compound types, synonyms of types, region abbreviations.
 KINDS = {
@@ -310,6 +311,7 @@ def resolve_regions(addresses: DataFrame, index: DataFrame) -> DataFrame:
     """addresses (id, address) with the region's code and the number of the segment that tells it: an abbreviation, a region's
     or federal city's name, a city or district that only one region has. Null where nothing does."""
     spark = addresses.sparkSession
+    ship(spark)
     wanted = index.filter("level <= 3 or lower(type) in ('г', 'г.')").select("region", "level", "name", "type")
     rows = wanted.limit(MOST_PLACES + 1).collect()
     if len(rows) > MOST_PLACES:
@@ -361,6 +363,7 @@ def resolve_regions(addresses: DataFrame, index: DataFrame) -> DataFrame:
 def match_addresses(addresses: DataFrame, index: DataFrame, *, salts: int = 1) -> DataFrame:
     """Structured addresses of (id, address). index: as made by registry.index. Addresses without a region, null and empty
     ones have level ``нет``."""
+    ship(addresses.sparkSession)
     told = resolve_regions(addresses.select("id", "address"), index)
     asked = told.filter("code is not null").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
     nodes = index.select("objectid", "guid", "name", "type", "level", "grp", "ancestors", F.col("region").alias("code")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from loomwork.functions.scalars import month, safe_name, valid_name
 from loomwork.operators.relational import first_wins
 from loomwork.plans.rules import extract
+from loomwork.session import ship
 
 # Marks of the registry's pages.
 DOCUMENT = r'<hr size="1" width="100%"><b>(\d+)\.</b>'
@@ -62,6 +63,8 @@ def split_documents(pages: DataFrame, order: list[str]) -> tuple[DataFrame, Data
     """Documents (doc_name, html) of pages (html, and the columns of order), each name once, the first in order; and the
     fragments without a valid name."""
 
+    ship(pages.sparkSession)
+
     @F.pandas_udf("array<struct<mark:int,fragment:string>>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
@@ -150,6 +153,7 @@ def document_text(html: Column) -> Column:
 
 def texts(documents: DataFrame) -> DataFrame:
     """(doc_name, year, month, text) of documents with valid names."""
+    ship(documents.sparkSession)
     name = F.trim("doc_name")
     good = documents.filter(valid_name(F.col("doc_name")))
     return good.select(name.alias("doc_name"), F.substring(name, -4, 4).cast("int").alias("year"), F.substring(name, -7, 2).cast("int").alias("month"), document_text(F.col("html")).alias("text"))

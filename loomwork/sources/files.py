@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwork.functions.scalars import valid_name
+from loomwork.session import ship
 
 RECORD = (
     "sourceFileName string, relativePath string, `index` string, documentNumberAndDate string, baseStationNumber string, baseStationAddress string, coordinates string, operator string, "
@@ -38,6 +39,7 @@ def documents(spark: SparkSession, path: str, ending: str, column: str = "text")
 
 def legacy_pages(spark: SparkSession, path: str) -> DataFrame:
     """(path, html) of pages in the windows-1251 charset."""
+    ship(spark)
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -58,6 +60,12 @@ def zip_entries(spark: SparkSession, path: str, pattern: str = ".*") -> DataFram
     """(volume, entry, content) of the entries of zip files whose names match; entries stream one by one. A volume that isn't a
     readable zip gives one row with a null entry, so that it can be told."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
+    return unzipped(rows, pattern)
+
+
+def unzipped(volumes: DataFrame, pattern: str = ".*") -> DataFrame:
+    """The same of volumes (path, content) that are rows already."""
+    ship(volumes.sparkSession)
 
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rx = re.compile(pattern)
@@ -70,7 +78,7 @@ def zip_entries(spark: SparkSession, path: str, pattern: str = ".*") -> DataFram
                 except zipfile.BadZipFile:
                     yield pd.DataFrame({"volume": [volume], "entry": [None], "content": [None]})
 
-    return rows.mapInPandas(entries, "volume string, entry string, content binary")
+    return volumes.select("path", "content").mapInPandas(entries, "volume string, entry string, content binary")
 
 
 def zipped_records(spark: SparkSession, path: str) -> DataFrame:

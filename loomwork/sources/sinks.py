@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomwork.operators.relational import last_wins, not_done
+from loomwork.session import ship
 
 VOLUME = 10_000
 
@@ -29,6 +30,7 @@ def write_json(rows: DataFrame, path: str) -> None:
 def zip_volumes(named: DataFrame, per_volume: int = VOLUME) -> DataFrame:
     """(volume, content) of (name, json): zip archives of at most so many entries each. Volumes are dealt by the names' hash, each
     a row; the caller stores them (content is bounded by the entries of one volume)."""
+    ship(named.sparkSession)
     n = max(1, -(-named.count() // per_volume) * 5 // 4)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
