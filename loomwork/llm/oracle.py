@@ -27,6 +27,10 @@ _FOUND = " union all ".join(
     for k, (kind, rx, group, least) in enumerate(_SECRETS)
 )
 
+#: Of the quality rules: numerator, denominator, share of the risk.
+_RULES = (("symbols", "n_symbols", "n_words", 0.6), ("repeats", "n_repeat_words", "n_words", 0.2), ("dup_lines", "n_dup_lines", "n_lines", 0.1), ("upper", "n_upper", "word_chars", 0.1))
+_RATIOS = " union all ".join(f"select doc_id, stratum, base_failed, '{rule}' as rule, 0.05::double * {share}::double as risk, case when {b} > 0 then {a}::double / {b}::double else 0.0::double end as ratio from s" for rule, a, b, share in _RULES)
+
 ORACLE: dict[str, str] = {
     "op1_decontaminate": f"""
         with d as (select doc_id, {_ALNUM} as w from documents),
@@ -77,4 +81,22 @@ ORACLE: dict[str, str] = {
         select d.doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
         sha256(coalesce(string_agg(told, ',' order by start, ord) filter (ord < 3), '')) as base_sha256, coalesce(string_agg(told, ',' order by start, ord), '') as spans
         from d left join x using (doc_id) group by d.doc_id""",
+    "op6_quality": f"""
+        with d as (select doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+        win as (select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g from d, unnest(generate_series(1, len(w) - 2)) u(i) where len(w) >= 3),
+        rep as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, g) as c from win) where c > 1),
+        rw as (select doc_id, count(distinct p) as n from (select doc_id, unnest([i, i + 1, i + 2]) as p from rep) group by doc_id),
+        ln as (select doc_id, count(*) as n, count(*) - count(distinct l) as dup from (select doc_id, unnest(string_split(t, chr(10))) as l from d) where regexp_matches(l, '[^\x20\x09-\x0D]') group by doc_id),
+        c as (select d.doc_id, stratum, cast(len(w) as bigint) as n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) as word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols, coalesce(ln.dup, 0) as n_dup_lines,
+            coalesce(rw.n, 0) as n_repeat_words, coalesce(ln.n, 0) as n_lines, length(regexp_replace(t, '[^A-Z]', '', 'g')) as n_upper from d left join rw using (doc_id) left join ln using (doc_id)),
+        s as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from c),
+        r as ({_RATIOS}),
+        told as (select doc_id, max(quality) as good from labels where doc_id is not null and quality is not null group by doc_id),
+        x as (select stratum, rule, risk, least(50, floor(ratio * 50)) as bin, good > 0 as good from r join told using (doc_id) where not base_failed),
+        h as (select stratum, rule, risk, i, count(*) filter (good and bin >= i) as lost, count(*) filter (not good and bin >= i) as caught, count(*) filter (good) as n_good, count(*) filter (not good) as n_bad from x, unnest(generate_series(1, 50)) u(i) group by all),
+        p as (select *, case when n_good > 0 and lost < n_good * risk then list_sum(list_transform(generate_series(0, lost), lambda k: exp(lgamma(n_good + 1) - lgamma(k + 1) - lgamma(n_good - k + 1) + k * ln(risk) + (n_good - k) * ln(1 - risk)))) <= 0.05 / (4 * (select count(distinct stratum) from d)) else false end as holds from h),
+        q as (select *, bool_and(holds) over (partition by stratum, rule order by i desc) as certified, caught::double / greatest(1, n_bad) - lost::double / greatest(1, n_good) as gain from p),
+        cut as (select stratum, rule, arg_max(i, (round(gain, 12), i))::double / 50 as cutoff from q where certified and gain > 1e-12 group by stratum, rule),
+        bad as (select distinct doc_id from r join cut using (stratum, rule) where ratio > cutoff)
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and doc_id not in (select doc_id from bad) as kept from s""",
 }
