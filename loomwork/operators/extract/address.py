@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from . import sections
+from . import bounded, sections
 
 # Words of regions, places, streets; words that end an address; contexts of foreign addresses.
 REGION = r"(?:[А-ЯЁ][\w-]+\s+(?:област\w*|обл\.?|кра[йяею]\w*|автономн\w+\s+округ\w*|АО|Респ\w*)|Респ\w*\.?\s+[А-ЯЁ][\w-]+(?:\s*[-–(]\s*[А-ЯЁ]\w+\)?)?|[КХЧДЛ]\w{2}\b|(?:г\.\s*)?(?:Москва|Санкт-Петербург|Севастополь)|Чувашия|РД|РТ|РБ)"
@@ -41,11 +41,11 @@ ANCHORS: tuple[tuple[str, str], ...] = (
 )
 BROAD = 2
 
-_ANCHORS = tuple(re.compile(f"(?i:{words}){rest}") for words, rest in ANCHORS)
-_REGION, _PLACE, _STREET = re.compile(REGION), re.compile(PLACE, re.I), re.compile(STREET, re.I)
-_FOREIGN, _NEIGHBOUR, _UNBUILT = (re.compile(p, re.I) for p in (FOREIGN, NEIGHBOUR, UNBUILT))
-_DISTANCE = re.compile(r",\s*(?:примерно\s+)?\d+(?:[.,]\d+)?\s*к?м\s+(?:на\s+)?\w*(?:восточ|запад|север|южн|юг)\w*", re.I)
-_BY_ADDRESS = re.compile(r"^(?P<junk>[^\n]{0,300}?)по\s+адресу\s*:?\s*", re.I)
+_ANCHORS = tuple(bounded.compile(f"(?i:{words}){rest}") for words, rest in ANCHORS)
+_REGION, _PLACE, _STREET = bounded.compile(REGION), bounded.compile(PLACE, re.I), bounded.compile(STREET, re.I)
+_FOREIGN, _NEIGHBOUR, _UNBUILT = (bounded.compile(p, re.I) for p in (FOREIGN, NEIGHBOUR, UNBUILT))
+_DISTANCE = bounded.compile(r",\s*(?:примерно\s+)?\d+(?:[.,]\d+)?\s*к?м\s+(?:на\s+)?\w*(?:восточ|запад|север|южн|юг)\w*", re.I)
+_BY_ADDRESS = bounded.compile(r"^(?P<junk>[^\n]{0,300}?)по\s+адресу\s*:?\s*", re.I)
 MOST = 200
 
 
@@ -75,7 +75,7 @@ STEPS: tuple[tuple[str, str], ...] = (
     (r"\.{2,}", "."), (r"([\w.\- ]{4,}), \1(?=,|$)", r"\1"), (r"\bРД,", "Республика Дагестан,"), (r"\bРТ,", "Республика Татарстан,"), (r"\bРБ,", "Республика Башкортостан,"), (r"(?:,?\s+(?:в|на|по|у|и|от|с))$", ""),
     (r"\s*\([^)]*$", ""), (r"^[\s,;:.\-–—]+|[\s,;:\-–—]+$", ""),
 )
-_STEPS = tuple((re.compile(p), to) for p, to in STEPS)
+_STEPS = tuple((bounded.compile(p), to) for p, to in STEPS)
 CAP = 300
 
 

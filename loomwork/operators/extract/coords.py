@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-from . import sections
+from . import bounded, sections
 
 # Rewrites of marks, in order.
 MARKS: tuple[tuple[str, str], ...] = (
@@ -52,11 +52,11 @@ FORMS: tuple[str, ...] = (
     rf"{_NOTHING}{LONG_DEC}[,;/\s]+{_NOTHING}{LONG_DEC}",
 )
 
-_MARKS = tuple((re.compile(p, re.I), to) for p, to in MARKS)
-_FORMS = tuple(re.compile(f) for f in FORMS)
-_LABELS = tuple(re.compile(p + r"[:\s]*([^\n]{5,80})", re.I) for p in (r"географические\s+координаты", r"координаты"))
-_LATITUDE = re.compile(rf"{DMS}[)\s]*N|N\s*:?\s*{DMS}")
-_LONGITUDE = re.compile(rf"{DMS}[)\s]*E|E\s*:?\s*{DMS}")
+_MARKS = tuple((bounded.compile(p, re.I), to) for p, to in MARKS)
+_FORMS = tuple(bounded.compile(f) for f in FORMS)
+_LABELS = tuple(bounded.compile(p + r"[:\s]*([^\n]{5,80})", re.I) for p in (r"географические\s+координаты", r"координаты"))
+_LATITUDE = bounded.compile(rf"{DMS}[)\s]*N|N\s*:?\s*{DMS}")
+_LONGITUDE = bounded.compile(rf"{DMS}[)\s]*E|E\s*:?\s*{DMS}")
 
 
 def normalised(text: str) -> str:

@@ -6,6 +6,8 @@ import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
+from . import bounded
+
 GROUND, ROOF = "земля", "кровля"
 
 _N = r"\d{1,3}(?:[.,]\d{1,2})?"
@@ -27,14 +29,14 @@ MAST = rf"(?:мачт|столб|башн|опор)\w*{_TALK}{{0,40}}?высот
 PAIR = rf"зем\w*\.?\s*/\s*(?:от\s+(?:уровня\s+)?)?кров\w*\.?{_TALK}{{0,40}}?({_N})\s*(?:/|\()\s*({_N}|-)"
 TABLE = r"высот\w+[^\n]{0,60}(?:земли|крыши)[^\n]*"
 
-_PHRASES = tuple(re.compile(p, re.I) for p in PHRASES)
-_MAST, _PAIR, _TABLE = (re.compile(p, re.I) for p in (MAST, PAIR, TABLE))
-_PLUS = re.compile(rf"(?<=\s)\+({_N})(?=\s)")
-_PIECES = re.compile(rf"шт\.?,\s*({_N}){UNIT},")
-_AFTER = re.compile(r"тип\w*\s+антенн\w*\s*[-–—:]\s*([^,;\n]{2,60})", re.I)
-_CODE = re.compile(r"^[AА](\d+)\s*-\s*(.+)$")
-_BEFORE = re.compile(r"№\s*(\d+)\s+([^;,\n]{2,60});[^;\n]*$")
-_MODEL = re.compile(r"антенн\w*\s+тип\w*\s+([A-Z][\w/-]*(?:\s[A-Z0-9][\w/-]*)?)|,\s*типа\s+([A-Z][\w/-]*)", re.I)
+_PHRASES = tuple(bounded.compile(p, re.I) for p in PHRASES)
+_MAST, _PAIR, _TABLE = (bounded.compile(p, re.I) for p in (MAST, PAIR, TABLE))
+_PLUS = bounded.compile(rf"(?<=\s)\+({_N})(?=\s)")
+_PIECES = bounded.compile(rf"шт\.?,\s*({_N}){UNIT},")
+_AFTER = bounded.compile(r"тип\w*\s+антенн\w*\s*[-–—:]\s*([^,;\n]{2,60})", re.I)
+_CODE = bounded.compile(r"^[AА](\d+)\s*-\s*(.+)$")
+_BEFORE = bounded.compile(r"№\s*(\d+)\s+([^;,\n]{2,60});[^;\n]*$")
+_MODEL = bounded.compile(r"антенн\w*\s+тип\w*\s+([A-Z][\w/-]*(?:\s[A-Z0-9][\w/-]*)?)|,\s*типа\s+([A-Z][\w/-]*)", re.I)
 
 
 class Height(NamedTuple):

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from functools import cache
 
-from . import sections
+from . import bounded, sections
 
 # Contexts.
 BS = r"\b[БB][СCS]"
@@ -39,13 +39,13 @@ FAMILIES: tuple[tuple[str, tuple[str, ...], str], ...] = (
     (r"\b(?:УС|РТС|РЭС|ПРС|УРС|БУС)[\s-]*", (r"\d{1,4}\s*км", r"\d{1,2}\.\d", r"\d{1,4}", r"[А-ЯЁ]\w{2,20}"), r"(?=\s|,|[\"«]|$)"),
 )
 
-_DOTTED = re.compile(r"^\d+\.\d{2,5}$")
-_LETTERS = re.compile(r"[^\W\d_]{2}")
+_DOTTED = bounded.compile(r"^\d+\.\d{2,5}$")
+_LETTERS = bounded.compile(r"[^\W\d_]{2}")
 
 
 @cache
-def rules() -> tuple[re.Pattern[str], ...]:
-    return tuple(re.compile(f"{before}({shape}){after}", re.I) for before, shapes, after in FAMILIES for shape in shapes)
+def rules() -> tuple[bounded.Pattern, ...]:
+    return tuple(bounded.compile(f"{before}({shape}){after}", re.I) for before, shapes, after in FAMILIES for shape in shapes)
 
 
 def _accepted(value: str, text: str) -> str | None:

@@ -34,8 +34,8 @@ def fields(text: str) -> tuple:
 
 
 def extracted(text: Column) -> Column:
-    """Struct of the fields that need offsets and candidate loops, in one pass over the text. A text on which a rule fails
-    gets null fields and the failure's name; it never stops the batch."""
+    """Struct of the fields that need offsets and candidate loops, in one pass over the text. A text on which a rule fails,
+    or takes too long, gets null fields and the failure's name; it never stops the batch."""
 
     @F.pandas_udf(FIELDS)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -45,7 +45,7 @@ def extracted(text: Column) -> Column:
             for text in batch:
                 try:
                     rows.append((*fields(text or ""), None))
-                except (ValueError, RecursionError, OverflowError) as e:
+                except (ValueError, RecursionError, OverflowError, TimeoutError) as e:
                     rows.append((None,) * 5 + (f"{type(e).__name__}: {e}",))
             yield pd.DataFrame(rows, columns=names)
 

@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.functions.fuzzy import osa
-from loomwork.session import ship
+from loomwork.operators import geo
+from loomwork.operators.registry import Register, match_houses
+from loomwork.session import checkpointed, ship
 
 # Words that tell a segment's kind, compound types, synonyms of types, region abbreviations.
 KINDS = {
@@ -360,11 +362,74 @@ def resolve_regions(addresses: DataFrame, index: DataFrame) -> DataFrame:
     return addresses.withColumn("r", run.asNondeterministic()("address")).select("*", F.col("r.code").alias("code"), F.col("r.at").alias("at")).drop("r")
 
 
+def _keys(addresses: DataFrame) -> DataFrame:
+    """id, kind, key of the districts and places that addresses (id, address) name."""
+
+    @F.pandas_udf("array<struct<kind:string,key:string>>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            rows = []
+            for raw in batch:
+                own = [classify(t) for t in segments(raw or "")]
+                rows.append([{"kind": "district" if x.kind == "district" else "place", "key": x.key} for x in own if x.key and x.kind in ("district", "city", "settlement", None)])
+            yield pd.Series(rows)
+
+    return addresses.select("id", F.explode(run("address")).alias("x")).select("id", "x.kind", "x.key").distinct()
+
+
+def resolve_homonyms(addresses: DataFrame, index: DataFrame) -> DataFrame:
+    """id and code of addresses (id, address) whose district many regions have, but one only with a settlement of that name too
+    that lies in it. By joins on names; where two regions fit, none is told."""
+    ship(addresses.sparkSession)
+
+    @F.pandas_udf("string")
+    def key(names: pd.Series) -> pd.Series:
+        return names.map(lambda n: key_of(n or ""))
+
+    named = index.filter("grp in (2, 4)").select("objectid", "region", "grp", "ancestors", key("name").alias("key"))
+    said = _keys(addresses)
+    district = said.filter("kind = 'district'").select("id", "key").join(named.filter("grp = 2").select("key", "region", F.col("objectid").alias("top")), "key").select("id", "region", "top")
+    place = said.filter("kind = 'place'").select("id", "key").join(named.filter("grp = 4").select("key", "region", "ancestors"), "key").select("id", "region", "ancestors")
+    met = district.join(place, ["id", "region"]).filter(F.array_contains("ancestors", F.col("top")))
+    found = met.groupBy("id").agg(F.min("region").alias("code"), F.max("region").alias("other"))
+    return found.filter("code = other").select("id", "code")
+
+
+def with_houses(found: DataFrame, register: Register) -> DataFrame:
+    """Matched addresses with their house where the register has it: level ``дом``, the house's guid, and houseId."""
+    asked = found.filter("streetId is not null and building is not null").select("id", F.col("streetId").alias("street"), "building")
+    homes = match_houses(asked, register).select("id", F.col("house").alias("houseId")).join(register.houses.groupBy(F.col("objectid").alias("houseId")).agg(F.min("guid").alias("_guid")), "houseId")
+    met = found.join(homes, "id", "left")
+    there = F.col("houseId").isNotNull()
+    return met.withColumn("matchLevel", F.when(there, "дом").otherwise(F.col("matchLevel"))).withColumn("guid", F.coalesce("_guid", "guid")).drop("_guid")
+
+
+def located(found: DataFrame, places: DataFrame, streets: DataFrame) -> DataFrame:
+    """Matched addresses with lat and lon of those that reach their house, by the map's street or place; null for all others."""
+    asked = found.filter("matchLevel = 'дом'").select("id", F.coalesce("city", F.regexp_replace("settlement", r"^\S+\.\s*", "")).alias("place"), F.regexp_replace("street", r"^\S+\.?\s+", "").alias("street"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"))
+    return found.join(geo.locate(asked, places, streets).select("id", "lat", "lon"), "id", "left")
+
+
+def canonical_names(points: DataFrame, index: DataFrame) -> DataFrame:
+    """points (id, code, place, street as the map's keys) with the register's names of the place and of the street under it: placeName,
+    streetName; null where the region has none, or two."""
+    own = index.select("region", "grp", "objectid", "ancestors", F.concat_ws(" ", "type", "name").alias("full"), geo.key(F.col("name")).alias("key"))
+    place = points.join(own.filter("grp = 4").select(F.col("region").alias("code"), F.col("key").alias("place"), "objectid", "full"), ["code", "place"])
+    place = place.groupBy("id").agg(F.min("objectid").alias("top"), F.max("objectid").alias("_other"), F.min("full").alias("placeName")).filter("top = _other").drop("_other")
+    street = points.join(place, "id").join(own.filter("grp = 8").select(F.col("region").alias("code"), F.col("key").alias("street"), "ancestors", "full", "objectid"), ["code", "street"]).filter(F.array_contains("ancestors", F.col("top")))
+    street = street.groupBy("id").agg(F.min("full").alias("streetName"), F.min("objectid").alias("_lo"), F.max("objectid").alias("_hi")).filter("_lo = _hi").select("id", "streetName")
+    return points.join(place.drop("top"), "id", "left").join(street, "id", "left")
+
+
 def match_addresses(addresses: DataFrame, index: DataFrame, *, salts: int = 1) -> DataFrame:
     """Structured addresses of (id, address). index: as made by registry.index. Addresses without a region, null and empty
     ones have level ``нет``."""
     ship(addresses.sparkSession)
-    told = resolve_regions(addresses.select("id", "address"), index)
+    index = checkpointed(index)
+    told = checkpointed(resolve_regions(addresses.select("id", "address"), index))
+    # an address that names no region counts as told before its first segment, if its district and settlement tell one
+    more = resolve_homonyms(told.filter("code is null").select("id", "address"), index).select("id", F.col("code").alias("_code"))
+    told = told.join(more, "id", "left").withColumn("at", F.when(F.col("code").isNull() & F.col("_code").isNotNull(), F.lit(-1)).otherwise(F.col("at"))).withColumn("code", F.coalesce("code", "_code")).drop("_code")
     asked = told.filter("code is not null").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
     nodes = index.select("objectid", "guid", "name", "type", "level", "grp", "ancestors", F.col("region").alias("code")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
 

@@ -16,7 +16,7 @@ from loomwork.operators import classify, geo, match, pages, registry
 from loomwork.operators import relational as R
 from loomwork.operators.extract import record
 from loomwork.plans.rules import extract, extract_all
-from loomwork.session import scratch, ship
+from loomwork.session import checkpointed, scratch, ship
 from loomwork.sources import files, sinks
 from loomwork.streaming import incremental
 
@@ -408,6 +408,49 @@ def d02_addresses(spark, sf_dir):
     return found.select("id", "region", "city", "settlement", "street", "building", F.col("matchLevel").alias("level"), "guid")
 
 
+@query("""with h as (select l_orderkey * 10 + l_linenumber as n, l_partkey, l_orderkey % 97 + 1 as k, l_linenumber as i from lineitem where l_linenumber <= 3),
+    hk as (select n, l_partkey, cast(k as varchar) || case i when 2 then 'а' when 3 then '2' else '' end as key, cast(k as varchar) || case i when 2 then 'а' else '' end as lead from h),
+    m as (select p_partkey as id, min(n) filter (key = cast(p_partkey % 50 + 1 as varchar)) as exact, min(n) as lo, max(n) as hi from part join hk on l_partkey = p_partkey and lead = cast(p_partkey % 50 + 1 as varchar) group by p_partkey)
+    select p_partkey as id, case when coalesce(exact, case when lo = hi then lo end) is not null then 'дом' else 'улица' end as level, coalesce('h' || cast(coalesce(exact, case when lo = hi then lo end) as varchar), 'g' || cast(p_partkey + 2000000 as varchar)) as guid from part left join m on m.id = p_partkey""")
+def r28_houses_of_addresses(spark, sf_dir):
+    """Addresses that reach their house take its guid; the others keep the street's."""
+    objects, links, houses = _raw_register(spark, sf_dir)
+    own = registry.full_import(objects.withColumn("isactive", F.lit(1)), links, houses)
+    found = read(spark, sf_dir, "part").selectExpr("p_partkey as id", "p_partkey + 2000000 as streetId", "cast(p_partkey % 50 + 1 as string) as building", "'улица' as matchLevel", "'g' || cast(p_partkey + 2000000 as string) as guid")
+    return match.with_houses(found, own).select("id", F.col("matchLevel").alias("level"), "guid")
+
+
+@query(f"""select n_nationkey as id, case when n_nationkey % 5 < 4 then n_nationkey + 1 end::int as code from nation where n_nationkey % 5 < 4""")
+def r29_homonym_districts(spark, sf_dir):
+    """A district's name that all regions have: the settlement tells which; for each fifth address two regions have both."""
+    nation = read(spark, sf_dir, "nation")
+    region = nation.selectExpr("n_nationkey + 1 as region", "cast(n_nationkey + 1 as long) as id")
+    districts = region.selectExpr("id + 1000 as objectid", "region", "2 as grp", "array(id) as ancestors", "'Лесной' as name")
+    places = region.selectExpr("id + 2000 as objectid", "region", "4 as grp", "array(id + 1000, id) as ancestors", f"{named('id')} as name")
+    twice = region.filter("id % 5 = 0").selectExpr("id + 3000 as objectid", "case when region = 25 then 1 else region + 1 end as region", "4 as grp", "array(case when id = 25 then 1001 else id + 1001 end, id) as ancestors", f"{named('id')} as name")
+    asked = region.selectExpr("cast(id - 1 as long) as id", f"'Лесной район, с. ' || {named('id')} || ', д. 4' as address")
+    return match.resolve_homonyms(asked, districts.unionByName(places).unionByName(twice)).select("id", "code")
+
+
+@query(f"select s_suppkey as id, case when s_suppkey % 3 = 0 then 'с. ' else 'г. ' end || {named('s_suppkey')} as place_name, case when s_suppkey % 2 = 0 then 'ул. ' || {named('(s_suppkey * 3 + 1)')} end as street_name from supplier")
+def r30_canonical_names(spark, sf_dir):
+    """The register's names for what the map has nearby; a street that isn't under the place has none."""
+    objects, links, _ = _raw_register(spark, sf_dir)
+    own = checkpointed(registry.index(registry.full_import(objects.withColumn("isactive", F.lit(1)), links)))
+    points = read(spark, sf_dir, "supplier").selectExpr("s_suppkey as id", "s_nationkey + 1 as code", f"lower({named('s_suppkey')}) as place", f"case when s_suppkey % 2 = 0 then lower({named('(s_suppkey * 3 + 1)')}) else 'нет' end as street")
+    return match.canonical_names(points, own).select("id", F.col("placeName").alias("place_name"), F.col("streetName").alias("street_name"))
+
+
+@query("select p_partkey, contains(p_name, 'ring') as is_cell from part")
+def r31_text_model(spark, sf_dir):
+    """A model trained on part names, that tells the parts with one word; labels as many as parts."""
+    part = read(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("text"), F.col("p_name").contains("ring").alias("label"))
+    model, told = classify.train(part.select("text", "label"), features=1 << 12)
+    if min(told.accuracy, told.auc, told.f1, told.precision, told.recall) < 0.99:
+        raise ValueError(f"the model fails on what was held out: {told}")
+    return classify.predict(model, part.select("p_partkey", "text")).select("p_partkey", "is_cell")
+
+
 # --- the map: vectors are places, their labels names
 
 _PLACES = "select vec_id, label, cast(embedding[1] as double) * 20 + 55 as lat, cast(embedding[2] as double) * 20 + 37 as lon from embeddings"

@@ -6,10 +6,11 @@ import hashlib
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[tuple[str, str]] = set()
 
@@ -36,12 +37,23 @@ def ship(spark: SparkSession) -> None:
     _shipped.add((context.applicationId, mark))
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder's path where all executors can read and write: below ``spark.checkpoint.dir``. Only where that is unset, as on one
-    machine, below a temporary folder."""
-    import uuid
-
+def shared_folder(spark: SparkSession) -> str:
+    """Where all executors can read and write: ``spark.checkpoint.dir``. Only on one machine may that be unset; a temporary folder
+    serves then."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base is None and not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir is unset: a cluster needs a shared folder")
-    return f"{base or tempfile.mkdtemp(prefix='loomwork-')}/loomwork-{uuid.uuid4().hex}"
+    return base or tempfile.mkdtemp(prefix="loomwork-")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder's path in the shared folder."""
+    return f"{shared_folder(spark)}/loomwork-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read from there, so that what uses it twice doesn't make it twice."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint(eager=True)
