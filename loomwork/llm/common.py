@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomwork.session import ship
+from loomwork.session import checkpointed, ship
 
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _UPPER = bytes(range(0x41, 0x5B))
@@ -93,14 +93,10 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in spark.checkpoint.dir. Only where that is unset, as in
-    tests on one machine, a temporary folder is set."""
+    """Cut the lineage with a reliable checkpoint in spark.checkpoint.dir. Only on one machine, as in tests, may that be
+    unset; on a cluster it is an error."""
     ship(df.sparkSession)
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="loomwork-checkpoint-"))
-    return df.checkpoint(eager=True)
+    return checkpointed(df)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
