@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomwork.functions.scalars import house_key, lead_number, level_group, name_key
 from loomwork.operators.relational import ancestors
+from loomwork.session import checkpointed
 
 # Columns of the register's XML rows, its deepest level, and the longest chain of deltas worth applying.
 OBJECT = "_OBJECTID bigint, _OBJECTGUID string, _NAME string, _TYPENAME string, _LEVEL int, _ISACTUAL int, _ISACTIVE int"
@@ -95,8 +96,9 @@ def version_plan(current: int | None, versions: list[tuple[int, bool]]) -> tuple
 
 
 def index(register: Register) -> DataFrame:
-    """Objects with parent, ancestors, level group and name key: what matching looks names up in."""
-    tree = register.objects.join(register.links, "objectid", "left")
+    """Objects with parent, ancestors, level group and name key: what matching looks names up in. The tree is stored, as each level
+    of ancestors reads it again."""
+    tree = checkpointed(register.objects.join(register.links, "objectid", "left"))
     return ancestors(tree, "objectid", "parent").select("*", level_group(F.col("level")).alias("grp"), name_key(F.col("name")).alias("key"))
 
 

@@ -410,7 +410,7 @@ def d02_addresses(spark, sf_dir):
 
 @query("""with h as (select l_orderkey * 10 + l_linenumber as n, l_partkey, l_orderkey % 97 + 1 as k, l_linenumber as i from lineitem where l_linenumber <= 3),
     hk as (select n, l_partkey, cast(k as varchar) || case i when 2 then 'а' when 3 then '2' else '' end as key, cast(k as varchar) || case i when 2 then 'а' else '' end as lead from h),
-    m as (select p_partkey as id, min(n) filter (key = cast(p_partkey % 50 + 1 as varchar)) as exact, min(n) as lo, max(n) as hi from part join hk on l_partkey = p_partkey and lead = cast(p_partkey % 50 + 1 as varchar) group by p_partkey)
+    m as (select p_partkey as id, min(n) filter (key = cast(p_partkey % 50 + 1 as varchar)) as exact, min(n) as lo, max(n) as hi from part join hk on l_partkey = p_partkey and (lead = cast(p_partkey % 50 + 1 as varchar) or key = cast(p_partkey % 50 + 1 as varchar)) group by p_partkey)
     select p_partkey as id, case when coalesce(exact, case when lo = hi then lo end) is not null then 'дом' else 'улица' end as level, coalesce('h' || cast(coalesce(exact, case when lo = hi then lo end) as varchar), 'g' || cast(p_partkey + 2000000 as varchar)) as guid from part left join m on m.id = p_partkey""")
 def r28_houses_of_addresses(spark, sf_dir):
     """Addresses that reach their house take its guid; the others keep the street's."""
