@@ -43,7 +43,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: Syllables that names are made of, so that a number has a name in the pipeline's alphabet.
 SYLLABLES = "бар вел гор дум зел кан лук мор нив пол рус сев тим фам хол чер шал юрт яск дол".split()
-_LIST = "['" + "','".join(SYLLABLES) + "']"
 
 
 def named(n: str) -> str:
