@@ -131,15 +131,14 @@ def calibrate(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang", risk
 
     docs: doc_id, text, stratum column. labels: doc_id, quality (1 good, 0 bad); several labels of a document count
     as good if one is. All labelled documents that pass the base rule are counted; null ids match nothing, a null
-    stratum is a stratum. Only histograms are shuffled; a stratum's are a few hundred numbers.
+    stratum is a stratum. Texts are counted where they lie: ids with their bins are shuffled to the labels, and histograms, of a few
+    hundred numbers a stratum.
     """
     told = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max(F.col("quality").cast("int")).alias("good"))
-    # labels come first: only labelled texts are looked at, once
-    own = docs.select("doc_id", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), "text").join(told, "doc_id")
-    rows = own.select("stratum", "good", text_stats(F.col("text")).alias("s")).filter(~base_failed("s"))
-    bins = F.explode(F.array(*[
-        F.struct(F.lit(r).alias("rule"), F.least(F.lit(STEPS), F.floor(_ratio("s", r) * STEPS).cast("int")).alias("bin")) for r in RULES
-    ]))
+    own = docs.filter("doc_id is not null").select("doc_id", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), text_stats(F.col("text")).alias("s"))
+    binned = F.array(*[F.least(F.lit(STEPS), F.floor(_ratio("s", r) * STEPS)).cast("byte") for r in RULES])
+    rows = own.filter(~base_failed("s")).select("doc_id", "stratum", binned.alias("bins")).join(told, "doc_id")
+    bins = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col("bins")[k].cast("int").alias("bin")) for k, r in enumerate(RULES)]))
     counts = rows.select("stratum", "good", bins.alias("x")).groupBy("stratum", "x.rule", "x.bin").agg(
         F.sum(F.when(F.col("good") > 0, 1).otherwise(0)).alias("good"), F.sum(F.when(F.col("good") > 0, 0).otherwise(1)).alias("bad")
     )

@@ -328,6 +328,18 @@ def test_cutoffs_keep_false_rejection_low(spark):
     assert quality.judge(docs, few).filter("quality.kept").count() == 4000
 
 
+def test_texts_do_not_move_to_their_labels(spark):
+    docs = spark.createDataFrame([(1, "a b", "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = quality.calibrate(docs, labels)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.index("SortMergeJoin") < plan.index("Exchange hashpartitioning(doc_id") < plan.index("ArrowEvalPython")  # texts are read below what moves
+
+
 def test_quality_of_awkward_rows(spark):
     docs = awkward(spark)
     labels = spark.createDataFrame([], "doc_id long, quality int")
