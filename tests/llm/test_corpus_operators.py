@@ -192,6 +192,17 @@ def test_open_texts_meet_all_of_their_group(spark, monkeypatch):
         assert [r.doc_id for r in rows] == [0] if sent == 0 else {r.doc_id: r.component_id for r in rows} == where
 
 
+def test_only_ids_are_sent_to_pick_texts(spark, monkeypatch):
+    sent = []
+    real = neardup.F.broadcast
+    monkeypatch.setattr(neardup.F, "broadcast", lambda df: (sent.append(df.dtypes), real(df))[1])
+    words = [f"w{i}" for i in range(300)]
+    docs = [(i, " ".join(words[:-1] + [f"x{i}"])) for i in range(6)] + [(9, "alone here"), (9, " ".join(words))]
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {(i, 296): 0 for i in (*range(6), 9)} | {(9, 1): 0}  # both texts of an id are its node
+    assert sent and all(kinds == [("node", "bigint")] for kinds in sent)
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     docs = awkward(spark)
     rows = neardup.near_duplicates(docs).collect()
