@@ -287,6 +287,15 @@ def test_compact_windows_of_equal_values():
         assert len(np.flatnonzero((l <= a) & (a <= c) & (c < b) & (b <= r))) == 1
 
 
+def test_shingles_of_many_texts_are_those_of_each():
+    rng = np.random.default_rng(5)
+    for k in (1, 2, 5):
+        texts = [rng.integers(0, 1 << 63, n, np.uint64) for n in (k, 50, k + 1, 7, 300)]
+        grams, stops = passages.shingles_of(texts, k)
+        assert [x.tolist() for x in np.split(grams, stops[:-1])] == [passages.shingle_hashes(t, k).tolist() for t in texts]
+        assert stops[-1] == len(grams)
+
+
 def test_every_exact_repeat_is_a_near_duplicate(spark, sf_dir):
     docs = texts_of(spark, sf_dir)
     words = defaultdict(set)
