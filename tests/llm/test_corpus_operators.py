@@ -393,6 +393,52 @@ def test_no_pair_of_a_template_family_is_missed(spark):
         assert not missed, (seed, len(missed), len(alike))
 
 
+def crowd_texts(seed, pairs, carriers):
+    """Pairs of texts with a passage of 50 words, one of which is changed in its middle; all its parts stand in many unlike texts too."""
+    rng = random.Random(seed)
+    own = lambda n: [f"o{rng.randint(0, 10**9)}" for _ in range(n)]
+    found = [[f"p{i}x{k}" for k in range(50)] for i in range(pairs)]
+    docs = []
+    for i, words in enumerate(found):
+        docs += [(2 * i, " ".join(own(30) + words + own(30))), (2 * i + 1, " ".join(own(30) + words[:25] + own(1) + words[26:] + own(30)))]
+    for i in range(carriers):
+        parts = [part for words in found for part in (words[:30], words[20:])]
+        docs.append((1000 + i, " ".join(w for part in parts for w in part + own(20))))
+    return docs
+
+
+def test_all_pairs_of_a_crowd_meet(spark):
+    """The passages are alike at 41 of 51 shingles; what surrounds most of their places isn't."""
+    for seed in (41, 42):
+        docs = crowd_texts(seed, 40, 24)
+        found = {r.doc_id for r in passages.near_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+        assert found == set(range(80))
+
+
+def test_open_windows_of_a_crowd_meet_all_that_are_alike_on_a_side(monkeypatch):
+    rng = np.random.default_rng(36)
+    own = lambda n: rng.integers(0, 1 << 63, n, np.uint64)
+    base = own(81)
+    for m in (40, 150):  # both ways: pairs by rows, and by blocks of a matrix
+        rows = []
+        for i in range(m):
+            near, far = rng.integers(0, 32, 2)
+            rows.append(np.concatenate((own(near), base[near:40], base[40:41], base[41 : 81 - far], own(far))))
+        grams = np.concatenate(rows)
+        at = np.arange(m) * 81 + 40
+        bits = passages.sketches(grams, at, at - 40, at + 41)
+        kept = np.unpackbits(bits, axis=1).reshape(m, 2, -1).astype(int)
+        x = {"key": np.repeat([3, 5], [m - 5, 5]), "open": (np.arange(m) % 3 == 0).astype(np.int64)}
+        x |= {c: bits.view("<i8")[:, k] for k, c in enumerate(passages._SKETCH)}
+        want = {
+            (i, j) for i in range(m) for j in range(i + 1, m)
+            if x["key"][i] == x["key"][j] and (x["open"][i] or x["open"][j]) and (kept[i] * kept[j]).sum(1).max() >= passages.ALIKE
+        }
+        for most in (1, 50, 1 << 21):
+            got = [(min(p), max(p)) for i, j in passages._open_pairs(x, most) for p in zip(i.tolist(), j.tolist(), strict=True)]
+            assert len(got) == len(set(got)) and set(got) == want and want
+
+
 def test_context_hashes_tell_what_surrounds_a_place():
     rng = np.random.default_rng(3)
     grams = rng.integers(0, 1 << 63, 300, np.uint64)
