@@ -12,7 +12,7 @@
    similar to it are joined. Only the others, the open ones, are held against all of their group: groups are cut into blocks
    of at most ``block`` documents, and each pair of an open block with any block is a task, so memory is bounded. Signatures are
    compared first, then full sets; of the links found, those that join parts not joined yet are kept.
-5. The kept links are connected by large-star/small-star again.
+5. The kept links are connected again.
 """
 
 from __future__ import annotations

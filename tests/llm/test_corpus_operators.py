@@ -119,6 +119,28 @@ def test_components(spark, monkeypatch):
     assert components.components(frame.limit(0)).count() == 0
 
 
+def test_components_of_few_edges(spark, monkeypatch):
+    """Few edges take a few jobs, whatever the length of their paths; by rounds the same comes out."""
+    edges = [(i, i + 1) for i in range(300)] + [(1000 + i, 1000) for i in range(50)] + [(7, 7), (9, 8), (1 << 60, -5)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+
+    def found(group):
+        spark.sparkContext.setJobGroup(group, "")
+        try:
+            rows = {(r.node, r.component) for r in components.components(frame).collect()}
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return rows, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    want = {(i, 0) for i in range(301)} | {(1000 + i, 1000) for i in range(50)} | {(1 << 60, -5), (-5, -5)}
+    rows, jobs = found("few edges")
+    assert rows == want and jobs < 10, jobs
+    monkeypatch.setattr(components, "FEW_EDGES", 0)
+    for hot in (components.HOT_ROWS, 10):
+        monkeypatch.setattr(components, "HOT_ROWS", hot)
+        assert found(f"rounds {hot}")[0] == want
+
+
 def near_texts(seed=8, n=60):
     """A base text with copies that differ by some words, so that similarities lie on both sides of the threshold."""
     rng = random.Random(seed)
