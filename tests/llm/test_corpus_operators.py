@@ -119,6 +119,63 @@ def test_components(spark, monkeypatch):
     assert components.components(frame.limit(0)).count() == 0
 
 
+def test_boxes_that_add_nothing(monkeypatch):
+    """What is left out as it can't add a word adds none; boxes of unlike texts around a passage found already are left out."""
+    rng = np.random.default_rng(5)
+    for case in range(60):
+        shared = rng.integers(0, 1 << 32, int(rng.integers(60, 140))).astype("<u4")
+        texts = []
+        for _ in range(6):
+            own = shared[int(rng.integers(0, 9)) : len(shared) - int(rng.integers(0, 9))].copy()
+            at = rng.random(len(own)) < rng.choice([0, 0.05, 0.1])
+            own[at] = rng.integers(0, 1 << 32, int(at.sum()))
+            gap = rng.integers(0, 1 << 32, int(rng.integers(0, 25)))  # and more that is shared, beyond a gap
+            more = shared[: int(rng.integers(0, 40))] + np.uint32(1)
+            around = [rng.integers(0, 1 << 32, int(rng.integers(0, 80))) for _ in range(2)]
+            words = [around[0], own, gap, more, around[1]] if case % 2 else [around[0], more, gap, own, around[1]]
+            texts.append(np.concatenate(words).astype("<u4"))
+        held = passages.Settled(5, 46, 80)
+        want = [np.zeros(len(t) + 4, bool) for t in texts]
+        for n, t in enumerate(texts):
+            held.add(n, 0, t, np.zeros(len(t) + 4, bool))
+        for a in range(6):
+            for b in range(a + 1, 6):
+                for s, e, u, v in passages.alike(texts[a], texts[b], 46, 80):
+                    want[a][s : e + 4] = want[b][u : v + 4] = True
+                list(held.look(a, b, 0, len(texts[a]), 0, len(texts[b])))
+        for n in range(6):
+            assert (held.of[n][0][0][1] == want[n]).all(), (case, n)
+    calls = []
+    alike = passages.alike
+    monkeypatch.setattr(passages, "alike", lambda *x: calls.append(x) or alike(*x))
+    shared = rng.integers(0, 1 << 32, 56)
+    held = passages.Settled(5, 46, 80)
+    for n in range(40):
+        held.add(n, 0, np.concatenate([rng.integers(0, 1 << 32, 30), shared, rng.integers(0, 1 << 32, 30)]).astype("<u4"), np.zeros(120, bool))
+    found = [x for a in range(40) for b in range(a) for x in held.look(a, b, 0, 116, 0, 116)]
+    assert set(found) == {(n, 30, 90) for n in range(40)} and len(calls) < 40, len(calls)
+
+
+def test_texts_of_many_boxes_move_once_a_task(spark):
+    """A passage that many unlike texts share makes boxes of all their pairs; what is sent to be looked at doesn't grow with them."""
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(60)]
+    docs = [(n, " ".join([f"u{rng.random()}" for _ in range(30)] + passage + [f"v{rng.random()}" for _ in range(30)])) for n in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    boxes = spark.createDataFrame([(a, b, 0, 0, 116, 0, 116) for a in range(60) for b in range(a + 1, 60)], passages.BOX)
+    found = passages._verified(frame, boxes, 5, 46, 80)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert {(r.node, r.start, r.stop) for r in found.collect()} == {(n, 30, 90) for n in range(60)}
+        plan = found._jdf.queryExecution().executedPlan()
+        while not plan.nodeName().startswith("Exchange"):
+            plan = plan.children().head()
+        rows = plan.metrics().get("shuffleRecordsWritten").get().value()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert rows <= 60 * 4, rows  # a row a side of a box: 3,540
+
+
 def test_components_of_few_edges(spark, monkeypatch):
     """Few edges take a few jobs, whatever the length of their paths; by rounds the same comes out."""
     edges = [(i, i + 1) for i in range(300)] + [(1000 + i, 1000) for i in range(50)] + [(7, 7), (9, 8), (1 << 60, -5)]
