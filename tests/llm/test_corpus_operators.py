@@ -494,6 +494,50 @@ def test_all_pairs_of_a_crowd_meet(spark):
         assert found == set(range(80))
 
 
+def test_texts_that_share_a_found_passage_do_not_all_meet(monkeypatch):
+    """120 unlike texts hold one passage of 70 words, which is found; the word after it is one of three. Some texts have more in common."""
+    rng = np.random.default_rng(40)
+    own = lambda n: rng.integers(0, 1 << 32, n, np.uint64).astype("<u4")
+    base, words, other = own(66), [own(1) for _ in range(3)], own(60)
+    texts = [np.concatenate((own(40), base, words[i % 3], own(40))) for i in range(120)]
+    texts[7] = np.concatenate((texts[7], other))
+    texts[90] = np.concatenate((texts[90], own(5), other, own(9)))
+    key = passages.narrowed({"key": np.array([5]), "l": np.array([0]), "r": np.array([300])}, passages.OWN).T.tobytes()
+    calls: list[int] = []
+    alike = passages.alike
+    monkeypatch.setattr(passages, "alike", lambda *x: calls.append(1) or alike(*x))
+    for sides in ([0] * 120, [i // 60 for i in range(120)]):
+        calls.clear()
+        held = passages.Crowd(5, 46, 80)
+        for i, x in enumerate(texts):
+            covered = np.zeros(len(x) + 4, bool)
+            covered[40:110] = True
+            held.put(i, sides[i], 0, x, covered, key)
+        spans = set(held.found())
+        assert len(calls) < 500  # 7,140 pairs
+        found = {i: set() for i in range(120)}
+        for i, s, e in spans:
+            found[i] |= set(range(s, e))
+        assert all(110 in x for x in found.values())
+        assert set(range(147, 211)) <= found[7] and set(range(152, 216)) <= found[90]
+        assert all(max(x) == 110 for i, x in found.items() if i not in (7, 90))
+
+
+def test_stretches_that_may_be_passages():
+    rng = np.random.default_rng(41)
+    for _ in range(60):
+        n, least = int(rng.integers(1, 60)), int(rng.integers(1, 20))
+        there, repeat = rng.random(n) < rng.choice([0.5, 0.8]), rng.random(n) < 0.1
+        for share in (1, 2):
+            step = np.where(there, share * 20, np.where(repeat, 0, -160))
+            want = np.zeros(n, bool)
+            for s in np.flatnonzero(there):
+                for e in np.flatnonzero(there) + 1:
+                    if e - s >= least and step[s:e].sum() >= 0:
+                        want[s:e] = True
+            assert passages.within(there, repeat, least, 80, share).tolist() == want.tolist()
+
+
 def test_open_windows_of_a_crowd_meet_all_that_are_alike_on_a_side(monkeypatch):
     rng = np.random.default_rng(36)
     own = lambda n: rng.integers(0, 1 << 63, n, np.uint64)
