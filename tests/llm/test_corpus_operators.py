@@ -11,11 +11,12 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pytest
 from helpers import awkward, linked, repeated, shingles, space_words
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from loomwork.llm import components, decontaminate, neardup, passages, queries, repeats, secrets, shard
+from loomwork.llm import common, components, decontaminate, neardup, passages, queries, repeats, secrets, shard
 
 
 def texts_of(spark, sf_dir):
@@ -649,3 +650,63 @@ def test_pipeline_stages(spark, sf_dir, tmp_path):
 
 def test_pipeline_runs_whole(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 100
+
+
+def test_passages_of_pairs_in_order():
+    """Against all pairs of stretches that begin and end with what both share; and such pairs aren't searched by trial."""
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        a, b, p, q = 0, 0, [], []
+        for _ in range(int(rng.integers(1, 60))):
+            p.append(a := a + int(rng.integers(1, 3 if rng.random() < 0.15 else 2)))
+            q.append(b := b + int(rng.integers(1, 4 if rng.random() < 0.1 else 2)))
+        want = np.zeros(len(p), bool)
+        for c in range(len(p)):
+            for d in range(c, len(p)):
+                one, other, both = p[d] - p[c] + 1, q[d] - q[c] + 1, d - c + 1
+                if min(one, other) >= 8 and 100 * both >= 80 * (one + other - both):
+                    want[c : d + 1] = True
+        got = np.zeros(len(p), bool)
+        for c, d in passages.good_runs(np.array(p), np.array(q), 8, 80):
+            got[c : d + 1] = True
+            assert 100 * (d - c + 1) >= 80 * (p[d] - p[c] + q[d] - q[c] + 2 - (d - c + 1))
+        assert got.tolist() == want.tolist()
+
+
+def test_gaps_of_texts_that_are_alike_in_part_are_found(monkeypatch):
+    """Stretches that are alike hold the changed words between 40 and 60 equal ones; the texts as a whole aren't alike, and no trial is made."""
+    monkeypatch.setattr(passages, "alike", lambda *_: pytest.fail("in-order pairs are told at once"))
+    x, y = np.arange(400, dtype=np.uint64), np.arange(400, dtype=np.uint64)
+    for at in (40, 105, 112, 119, 126, 133, 140):
+        y[at : at + 5] += np.uint64(1000)
+    y[150:] += np.uint64(2000)
+    covered = [np.ones(404, bool) for _ in "ab"]
+    for c in covered:
+        c[40:49] = False
+    held = passages.Settled(5, 46, 80)
+    found = held.between(*((v, c, np.zeros(400, bool)) for v, c in zip((x, y), covered, strict=True)))
+    assert all(c.all() for c in covered)
+    for s, e, u, v in found:
+        assert e <= 150 and v <= 150 and min(s, u) == 0
+
+
+def test_parts_of_other_windows():
+    rng = np.random.default_rng(6)
+    key = np.sort(rng.integers(0, 40, 200))
+    part = rng.integers(0, 70, 200)
+    for bits, k, i in zip(passages.others(key, part).tolist(), key.tolist(), range(200), strict=True):
+        want = {int(p) % passages.MARKS for j, p in enumerate(part) if j != i and key[j] == k}
+        assert {b for b in range(64) if bits >> b & 1} == want
+
+
+def test_hashes_of_words_of_many_texts():
+    texts = [None, "", " ", "a", "\x0bAbc\x0c x  y", "é Éa B " + "z" * 300 + " " + "Z" * 300 + " " + "z" * 301, "y" * 7, "y" * 8 + " " + "y" * 9, "y" * 16 + "\t" + "y" * 17, "　x", "a\x00 a"]
+    hashes = common.word_hashes(texts)
+    told: dict[bytes, int] = {}
+    for text, got in zip(texts, hashes, strict=True):
+        words = common.lower_space_words(text)
+        assert len(words) == len(got)
+        for word, h in zip(words, got.tolist(), strict=True):
+            assert told.setdefault(word, h) == h
+    assert len(set(told.values())) == len(told)
+    assert common.word_hashes([]) == []
